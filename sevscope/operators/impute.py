@@ -35,8 +35,18 @@ def add_missing_indicators(df: DataFrame, cols: list[str] | None = None,
     return out, with_missing
 
 
+def missing_and_impute(df: DataFrame, skip=S.SKIP_INDICATOR) -> tuple[DataFrame, list[str], dict]:
+    """Indicators then imputation, sharing one NULL-count pass."""
+    cand = indicator_candidates(df, skip)
+    counts = null_counts(df, cand)
+    out, ind = add_missing_indicators(df, [c for c in cand if counts[c] > 0])
+    out, fills = impute(out, skip, counts={**counts, **{f"{c}{S.MISSING_SUFFIX}": 0 for c in ind}})
+    return out, ind, fills
+
+
 def impute(df: DataFrame, skip=S.SKIP_INDICATOR, medians: dict | None = None,
-           median_source: DataFrame | None = None) -> tuple[DataFrame, dict]:
+           median_source: DataFrame | None = None,
+           counts: dict | None = None) -> tuple[DataFrame, dict]:
     """Numeric columns with NULLs -> exact median; other columns -> 'Unknown'.
 
     ``median_source`` lets a caller fit the medians on another frame (e.g. train
@@ -44,7 +54,7 @@ def impute(df: DataFrame, skip=S.SKIP_INDICATOR, medians: dict | None = None,
     Returns the frame and the fill values used.
     """
     cand = indicator_candidates(df, skip)
-    counts = null_counts(df, cand)
+    counts = counts if counts is not None else null_counts(df, cand)
     todo = [c for c in cand if counts[c] > 0]
     num = S.numeric_columns(df.schema, todo)
     cat = [c for c in todo if c not in num]

@@ -108,3 +108,23 @@ def mean_flags_long(df: DataFrame, flags: list[str], by: list[str] | None = None
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c), digits).alias("mean"))
                     for c in flags])
     return wide.select(*by, F.inline(arr))
+
+
+def flag_prevalence(df: DataFrame, flags: list[str], descriptions: dict[str, str],
+                    label: str = "severe") -> DataFrame:
+    """Per flag: overall / label=1 / label=0 prevalence in percent, one decimal.
+
+    One aggregate (3 averages per flag), unpivoted; sorted by overall prevalence.
+    """
+    aggs = []
+    for c in flags:
+        aggs.append(F.struct(
+            F.lit(c).alias("feature"),
+            F.lit(descriptions.get(c, "")).alias("description"),
+            F.bround(F.avg(c) * 100.0, 1).alias("overall_pct"),
+            F.bround(F.avg(F.when(F.col(label) == 1, F.col(c))) * 100.0, 1).alias("severe_pct"),
+            F.bround(F.avg(F.when(F.col(label) == 0, F.col(c))) * 100.0, 1).alias("nonsevere_pct"),
+        ).alias(f"__{c}"))
+    row = df.agg(*aggs)
+    return (row.select(F.inline(F.array(*[F.col(f"__{c}") for c in flags])))
+               .orderBy(F.desc("overall_pct"), F.asc("feature")))

@@ -15,7 +15,8 @@ from .. import schema as S
 from ..functions import flags as FL
 from ..operators.consolidate import consolidate
 from ..operators.dedup import latest_version
-from ..operators.impute import add_missing_indicators, impute
+from ..operators.impute import add_missing_indicators, missing_and_impute  # noqa: F401
+from ..session import cut_lineage
 from ..sources import fixtures
 
 
@@ -52,10 +53,19 @@ class CleanResult:
     fills: dict = field(default_factory=dict)
 
 
-def clean(raw: DataFrame, tiebreak_cols=fixtures.TIEBREAK_COLS) -> CleanResult:
+def clean(raw: DataFrame, tiebreak_cols=fixtures.TIEBREAK_COLS,
+          materialise: bool = True) -> CleanResult:
+    """Full cleaning stage.
+
+    The consolidated incidents are checkpointed once (two shuffles) before the
+    small driver-side decisions (which columns have NULLs, the medians), so those
+    actions and the final projection re-read the checkpoint instead of
+    recomputing both shuffles each time.
+    """
     inc = incidents(raw, tiebreak_cols)
-    inc, ind = add_missing_indicators(inc)
-    inc, fills = impute(inc)
+    if materialise:
+        inc = cut_lineage(inc)
+    inc, ind, fills = missing_and_impute(inc)
     return CleanResult(inc, ind, fills)
 
 
