@@ -1,2 +1,132 @@
-"""Catalogue entries."""
+"""Catalogue entries for cluster profiling on a *given* cluster column.
+
+The fixed cluster column lets both engines profile the same assignment; the
+fitted k-means jobs (I15-I19) are in ``q_models`` (rows-only checks).
+"""
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..functions import narrative as N
+from ..operators import clusters as K
+from ..operators.features import fit_features
+from . import cleaning as C
+from .catalog import register
+from .oracle import chain, q
+from .q_narrative import _sql_flag_cte
+
+PROFILE = S.PROFILE_COLS
+_KEEP = "incident_key, severe, automation_level, report_month, " + ", ".join(PROFILE)
+
+
+def clustered(spark, sf_dir):
+    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
+    flagged = N.attach_narrative_flags(known)
+    return flagged.withColumn("cluster", (F.col("report_month") % 4).cast("int"))
+
+
+def _chain_clustered() -> str:
+    return (chain() + _sql_flag_cte("known", _KEEP, "narrative")
+            + ", cl as (select *, cast(report_month % 4 as integer) as cluster from flags_src)\n")
+
+
+def _profile_sql() -> str:
+    tops = []
+    for c in PROFILE:
+        tops.append(f"""left join (select cluster, v_{c}, k_{c} from (
+    select cluster, {c} as v_{c}, count(*) as k_{c},
+      row_number() over (partition by cluster order by count(*) desc, {c} asc) as r
+    from cl where {c} is not null group by cluster, {c}) where r = 1) t_{c} using (cluster)""")
+    cols = ", ".join(
+        f"case when v_{c} is null then 'N/A' else v_{c} || ' (' || "
+        f"printf('%.0f', round_even(k_{c} / n * 100.0, 0)) || '%)' end as top_{c}" for c in PROFILE)
+    return f"""{_chain_clustered()}, prof as (
+select cluster, n, round_even(n / (select count(*) from cl) * 100.0, 1) as pct_of_total,
+  round_even(sr * 100.0, 1) as severe_rate, {cols}
+from (select cluster, count(*) as n, avg(severe) as sr from cl group by cluster) b
+{chr(10).join(tops)})
+"""
+
+
+@register("cluster_profile", _profile_sql() + "select * from prof")
+def cluster_profile(spark, sf_dir):
+    return K.cluster_profile(clustered(spark, sf_dir), "cluster", PROFILE)
+
+
+def _lift_sql() -> str:
+    parts = []
+    for i, f in enumerate(N.ALL_FLAGS):
+        parts.append(f"select cluster, {i} as pos, {q(f)} as feature, "
+                     f"avg({f}) - (select avg({f}) from cl) as lift from cl group by cluster")
+    return ", lift as (\n" + "\nunion all\n".join(parts) + ")\n"
+
+
+@register("flag_lift", _chain_clustered() + _lift_sql() + """
+select cluster, cast(r as integer) as rank, feature, round(lift, 6) as lift from (
+  select *, row_number() over (partition by cluster order by lift desc, pos asc) as r from lift)
+where r <= 3""")
+def flag_lift(spark, sf_dir):
+    lift = K.flag_lift(clustered(spark, sf_dir), "cluster", N.ALL_FLAGS)
+    return K.top_lifts(lift, "cluster", 3)
+
+
+def _label_sql() -> str:
+    nav = " ".join(f"when {q(k)} then {q(v)}" for k, v in K.NAV_LABELS.items())
+
+    def any_of(col, words):
+        return " or ".join(f"contains({col}, {q(w)})" for w in words)
+    ctx = "case " + " ".join(f"when {any_of('top_roadway_type', w)} then {q(l)}"
+                             for w, l in K.ROADWAY_CONTEXT) + f" else {q(K.DEFAULT_CONTEXT)} end"
+    sv = "case " + " ".join(f"when {any_of('top_sv_movement', w)} then {q(l)}"
+                            for w, l in K.MOVEMENT_CONTEXT) + f" else {q(K.DEFAULT_MOVEMENT)} end"
+    navl = f"case when lift > {K.LIFT_MIN} then (case feature {nav} end) end"
+    core = (f"case when contains(top_crash_with, {q(K.ANIMAL_WORD)}) then {q(K.ANIMAL_LABEL)} "
+            f"when {any_of('top_crash_with', K.FIXED_OBJECT_WORDS)} then {q(K.FIXED_OBJECT_LABEL)} "
+            f"else coalesce({navl}, 'Typical ' || lower({ctx}) || ' crash (' || {sv} || ')') end")
+    return (_profile_sql() + _lift_sql() + f"""
+select cluster, {core} || {q(K.SEP)} || printf('%.0f', round_even(severe_rate, 0)) || '% severe'
+  as scenario_label
+from prof join (select * from (select *, row_number() over (partition by cluster
+  order by lift desc, pos asc) as r from lift) where r = 1) t using (cluster)""")
+
+
+@register("scenario_label", _label_sql())
+def scenario_label(spark, sf_dir):
+    df = clustered(spark, sf_dir).cache()
+    prof = K.cluster_profile(df, "cluster", PROFILE)
+    lift = K.flag_lift(df, "cluster", N.ALL_FLAGS)
+    return K.scenario_labels(prof, lift, "cluster").select("cluster", "scenario_label")
+
+
+@register("cluster_crosstab", _chain_clustered() + """
+select c.cluster, v.roadway_type, coalesce(x.n, 0) as n
+from (select distinct cluster from cl) c cross join (select distinct roadway_type from cl) v
+left join (select cluster, roadway_type, count(*) as n from cl group by all) x
+  using (cluster, roadway_type)""")
+def cluster_crosstab(spark, sf_dir):
+    return K.crosstab(clustered(spark, sf_dir), "cluster", "roadway_type")
+
+
+@register("silhouette", """
+with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
+d as (select a.vec_id, a.label as la, b.label as lb, list_distance(a.v, b.v) as dist
+      from e a join e b on a.vec_id <> b.vec_id),
+per as (select vec_id, la, lb, avg(dist) as md from d group by all),
+s as (select vec_id, la,
+        max(case when la = lb then md end) as a, min(case when la <> lb then md end) as b
+      from per group by all),
+sz as (select label, count(*) as n from e group by label)
+select sz.label, sz.n, round(avg(case when sz.n <= 1 or s.a is null then 0
+    else (s.b - s.a) / greatest(s.a, s.b) end), 6) as silhouette
+from sz left join s on s.la = sz.label group by sz.label, sz.n""")
+def silhouette_q(spark, sf_dir):
+    """Euclidean silhouette of the fixed ``embeddings.label`` clusters (I16)."""
+    from pyspark.ml.functions import array_to_vector
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    emb = emb.select("vec_id", "label", array_to_vector("embedding").alias("features"))
+    out = K.silhouette(emb, "vec_id", "features", "label", 2000)
+    return out.select("label", "n", F.round("silhouette", 6).alias("silhouette"))
+
+
+__all__ = ["clustered", "fit_features"]
