@@ -1,2 +1,148 @@
-"""Catalogue entries."""
+"""Catalogue entries for fitted models and clustering (I1-I19). Rows-only checks:
+fits are not SQL-expressible, so these have no oracle statement.
+
+Grids: the queries run the reference's LR grid in full and a reduced forest grid;
+``models.RF_GRID`` / ``models.GBT_GRID`` are the full grids for batch runs.
+"""
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import narrative as N
+from . import cleaning as C
+from . import clustering as CL
+from . import models as MO
+from .catalog import register
+
+METRIC_SCHEMA = ("model string, TP bigint, FP bigint, FN bigint, TN bigint, precision double, "
+                 "recall double, f1 double, fn_rate double, roc_auc double")
+QUERY_RF_GRID = {"n_est": [100], "depth": [None, 10], "leaf": [5]}
+
+
+def _known(spark, sf_dir):
+    return C.load_known(C.cleaned_incidents(spark, sf_dir))
+
+
+def _metric_rows(spark, rows, extra=""):
+    keys = [c.split()[0] for c in (METRIC_SCHEMA + extra).split(", ")]
+    return spark.createDataFrame([tuple(r.get(k) for k in keys) for r in rows], METRIC_SCHEMA + extra)
+
+
+@register("pooled_baseline")
+def pooled_baseline(spark, sf_dir):
+    """Pooled LR, C=1, t=0.5: overall and per-level test metrics."""
+    metrics, _, _ = MO.pooled_baseline(_known(spark, sf_dir))
+    return metrics
+
+
+@register("coefficients")
+def coefficients(spark, sf_dir):
+    """Pooled LR coefficients and odds ratios sorted by |coef| (I7, I14: rank <= 12 = top odds)."""
+    _, coefs, _ = MO.pooled_baseline(_known(spark, sf_dir))
+    rows = [(i + 1, r["feature"], r["coefficient"], r["odds_ratio"]) for i, r in enumerate(coefs)]
+    return spark.createDataFrame(rows, "rank int, feature string, coefficient double, odds_ratio double")
+
+
+@register("lr_false_negatives")
+def lr_false_negatives(spark, sf_dir):
+    """Missed severe incidents of the pooled LR (B8 on a fitted model)."""
+    _, _, fn = MO.pooled_baseline(_known(spark, sf_dir))
+    return fn.select("incident_key", "automation_level", "roadway_type", "crash_with", "prob")
+
+
+@register("stratified_models")
+def stratified_models(spark, sf_dir):
+    """Per level: LR C-grid and a reduced forest grid, threshold from validation."""
+    res, _ = MO.stratified_models(_known(spark, sf_dir), algorithms=("LR", "RF"),
+                                  rf_grid=QUERY_RF_GRID)
+    return _metric_rows(spark, res, ", threshold double, automation_level string, algorithm string, "
+                                    "feature_set string, split_type string")
+
+
+@register("best_per_level")
+def best_per_level(spark, sf_dir):
+    """Hard-coded choice RF for ADS, LR for L2."""
+    res, _ = MO.stratified_models(_known(spark, sf_dir), algorithms=("LR", "RF"),
+                                  rf_grid=QUERY_RF_GRID)
+    return _metric_rows(spark, MO.best_per_level(res), ", automation_level string, algorithm string")
+
+
+@register("importances")
+def importances(spark, sf_dir):
+    """Forest feature importances, ADS narrative + tabular features (I8)."""
+    _, tables = MO.stratified_models(_known(spark, sf_dir), algorithms=("RF",), rf_grid=QUERY_RF_GRID)
+    rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() for r in t]
+    return spark.createDataFrame(rows, "model string, feature string, importance double")
+
+
+@register("boosted_fit")
+def boosted_fit(spark, sf_dir):
+    """Fixed-parameter refits (boosted ADS, LR L2) and their miss summary."""
+    summary, _ = MO.fixed_refit_misses(_known(spark, sf_dir))
+    return summary
+
+
+@register("ablation")
+def ablation(spark, sf_dir):
+    """Tabular vs narrative feature sets, ADS and pooled."""
+    return _metric_rows(spark, MO.ablation(_known(spark, sf_dir)))
+
+
+@register("nav_coefficients")
+def nav_coefficients(spark, sf_dir):
+    """Narrative-flag coefficients of the combined ADS model."""
+    rows = [r for m in MO.ablation(_known(spark, sf_dir)) for r in m.get("nav_coefficients", [])]
+    return spark.createDataFrame([(r["feature"], r["coefficient"]) for r in rows],
+                                 "feature string, coefficient double")
+
+
+@register("pooled_vs_stratified")
+def pooled_vs_stratified(spark, sf_dir):
+    """Pooled model's ADS slice beside the stratified ADS choice."""
+    known = _known(spark, sf_dir)
+    pooled, _, _ = MO.pooled_baseline(known)
+    strat, _ = MO.stratified_models(known, algorithms=("RF",), rf_grid=QUERY_RF_GRID)
+    return MO.pooled_vs_stratified(pooled, strat, spark)
+
+
+@register("kmeans_select_k")
+def kmeans_select_k(spark, sf_dir):
+    """Silhouette by k for the ADS slice."""
+    known = N.attach_narrative_flags(_known(spark, sf_dir))
+    ads = known.where(F.col("automation_level") == "ADS")
+    tab = [c for c in MO.context_features(ads) if c != "automation_level"]
+    X = CL.cut_lineage(CL.cluster_matrix(ads, tab + N.NAV_FEATURES))
+    best, scores = CL.select_k(X.select("incident_key", "features"), "incident_key", n_init=2)
+    return spark.createDataFrame([(s["k"], s["silhouette"], s["cost"], int(s["k"] == best))
+                                  for s in scores], "k int, silhouette double, cost double, chosen int")
+
+
+@register("cluster_job")
+def cluster_job(spark, sf_dir):
+    """Full ADS scenario clustering: k search, final fit, labelled profiles."""
+    job = CL.cluster_level(_known(spark, sf_dir), "ADS", n_init_search=2, n_init_final=3)
+    return job.profile
+
+
+@register("cluster_job_l2")
+def cluster_job_l2(spark, sf_dir):
+    """The same job for the L2 level (by-level variant)."""
+    job = CL.cluster_level(_known(spark, sf_dir), "L2", n_init_search=2, n_init_final=3)
+    return job.profile
+
+
+@register("pca_projection")
+def pca_projection(spark, sf_dir):
+    """Exploration: context features, numerics standardised, k-means (k by silhouette)
+    and a 2-D PCA projection of every labelled incident (H4, I19)."""
+    from ..operators import features as FE
+    known = _known(spark, sf_dir)
+    feats = MO.context_features(known)
+    spec = FE.fit_features(known, feats)
+    X = CL.cut_lineage(spec.transform(known).select("incident_key", "features"))
+    best, _ = CL.select_k(X, "incident_key", CL.EXPLORE_K_RANGE, n_init=2,
+                          sample=CL.EXPLORE_SAMPLE)
+    model, _ = CL.fit_kmeans(X, best, 2)
+    proj, ratio = CL.pca_projection(model.transform(X))
+    return proj.select("incident_key", "cluster", "pc1", "pc2",
+                       F.lit(float(ratio[0])).alias("pc1_ratio"), F.lit(float(ratio[1])).alias("pc2_ratio"))
