@@ -36,3 +36,17 @@ def test_harmonise_clash_merges(spark):
     df = spark.createDataFrame([(None, "old"), ("new", "old2")], "`VIN Decoded` string, `VIN - Unknown` string")
     out = X.harmonise(df, S.ARCHIVED_RENAME).collect()
     assert [r["VIN Decoded"] for r in out] == ["old", "new"]
+
+
+def test_streaming_ingest(spark, tmp_path):
+    from sevscope.streaming.ingest import ingest_extract_drops
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    _write(drop / "a.csv", "Report ID,Report Version,Narrative\nR1,1,first\nR2,NA,second\n", "utf-8")
+    cols = ["Report ID", "Report Version", "Narrative"]
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    ingest_extract_drops(spark, str(drop), cols, "ADS", "current", out, ck)
+    _write(drop / "b.csv", "Report ID,Report Version,Narrative\nR1,2,third\n", "utf-8")
+    ingest_extract_drops(spark, str(drop), cols, "ADS", "current", out, ck)
+    rows = sorted((r.report_id, r.report_version) for r in spark.read.parquet(out).collect())
+    assert rows == [("R1", 1.0), ("R1", 2.0), ("R2", None)]
