@@ -47,14 +47,20 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", F.lit(float(total)) / (2.0 * F.col("n")))
 
 
-def balanced_weight_col(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach balanced class weights as a column (one aggregate, literals)."""
+def balanced_weight_col(df: DataFrame, label: str, out: str = "weight",
+                        return_total: bool = False):
+    """Attach balanced class weights as a column (one aggregate, literals).
+
+    With ``return_total`` also returns the weight total (= n with both classes)."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("pos")).first()
     n, pos = row["n"], row["pos"]
     neg = n - pos
     w1 = n / (2.0 * pos) if pos else 0.0
     w0 = n / (2.0 * neg) if neg else 0.0
-    return df.withColumn(out, F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0)))
+    w = df.withColumn(out, F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0)))
+    if return_total:
+        return w, float(pos * w1 + neg * w0)
+    return w
 
 
 def pos_weight_grid(df: DataFrame, label: str) -> DataFrame:

@@ -101,7 +101,8 @@ def exact_medians(df: DataFrame, cols: list[str],
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("x")).select("x.col", "x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    # distinct (column, value) counts are reused by three steps: persist once
+    counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("cnt")).persist()
     ranked = prefix_sums(counts, ["col"], ["v"], ["cnt"], rows_per_bucket=rows_per_bucket)
     totals = counts.groupBy("col").agg(F.sum("cnt").alias("n"))
     # 0-based middle ranks
@@ -114,6 +115,7 @@ def exact_medians(df: DataFrame, cols: list[str],
                  .agg(F.max(F.when(covers(k_lo), F.col("v"))).alias("lo"),
                       F.max(F.when(covers(k_hi), F.col("v"))).alias("hi"))
                  .collect())
+    counts.unpersist()
     out: dict[str, float | None] = {c: None for c in cols}
     for r in picked:
         out[r["col"]] = (r["lo"] + r["hi"]) / 2.0

@@ -54,13 +54,17 @@ def with_probability(pred: DataFrame, out: str = "prob") -> DataFrame:
 
 # --- estimators -----------------------------------------------------------------------
 
-def fit_lr(train: DataFrame, C: float = 1.0, features: str = "features", max_iter: int = 1000):
-    """Class-balanced L2 logistic regression."""
-    w = FE.balanced_weight_col(train, LABEL, WEIGHT)
-    total_w = w.agg(F.sum(WEIGHT)).first()[0] or 1.0
+def fit_lr(train: DataFrame, C: float = 1.0, features: str = "features", max_iter: int = 1000,
+           tol: float = 1e-6):
+    """Class-balanced L2 logistic regression.
+
+    Balanced weights sum to n when both classes are present, so
+    ``regParam = 1 / (C * n)`` needs only the class counts (one aggregate).
+    """
+    w, n = FE.balanced_weight_col(train, LABEL, WEIGHT, return_total=True)
     lr = LogisticRegression(featuresCol=features, labelCol=LABEL, weightCol=WEIGHT,
-                            regParam=1.0 / (C * total_w), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-8)
+                            regParam=1.0 / (C * max(n, 1.0)), elasticNetParam=0.0,
+                            standardization=False, maxIter=max_iter, tol=tol)
     return lr.fit(w)
 
 

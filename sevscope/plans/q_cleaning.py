@@ -208,3 +208,38 @@ def component_shares(spark, sf_dir):
     known = C.load_known(C.cleaned_incidents(spark, sf_dir))
     return P.component_shares(known.where(F.col("severe") == 1),
                               ["injury_flag", "airbag_flag", "towed_flag"])
+
+
+# --- A1-A4, B1-B2 through real CSV files -------------------------------------------
+_CSV_COLS = [c for c in RAW_COLS]
+
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@register("csv_extracts", chain() + "select " + ", ".join(
+    f"case when {c} = '' then null else {c} end as {c}" if c not in (
+        "report_version", "sv_speed_mph", "report_month") else c for c in _CSV_COLS) + " from raw_reports")
+def csv_extracts(spark, sf_dir):
+    """Write the view as four raw CSV extracts, then run the extract scan on them:
+    per-file encoding, multi-line quoted text, missing tokens, archived-name
+    harmonisation, union by name, provenance and declared types."""
+    ex = fixtures.write_raw_extracts(spark, sf_dir, _scratch(spark, "extracts"))
+    return X.read_extracts(spark, ex).select(*_CSV_COLS)
+
+
+# --- A5 / A8: partitioned cleaned table, pruned reload ------------------------------
+@register("partitioned_reload", chain() + """
+select era, automation_level, count(*) as n, cast(sum(severe) as bigint) as n_severe
+from known where automation_level = 'ADS' group by all""")
+def partitioned_reload(spark, sf_dir):
+    from ..sources import sinks
+    path = _scratch(spark, "cleaned")
+    sinks.write_cleaned(C.cleaned_incidents(spark, sf_dir), path)
+    known = sinks.read_cleaned(spark, path, known_only=True)
+    ads = known.where(F.col("automation_level") == "ADS")      # directory pruning
+    return ads.groupBy("era", "automation_level").agg(F.count(F.lit(1)).alias("n"),
+                                                      F.sum("severe").cast("bigint").alias("n_severe"))

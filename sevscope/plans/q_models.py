@@ -16,13 +16,39 @@ from .catalog import register
 
 METRIC_SCHEMA = ("model string, TP bigint, FP bigint, FN bigint, TN bigint, precision double, "
                  "recall double, f1 double, fn_rate double, roc_auc double")
-QUERY_RF_GRID = {"n_est": [100], "depth": [None, 10], "leaf": [5]}
+QUERY_RF_GRID = {"n_est": [100], "depth": [10], "leaf": [5]}
+
+
+_MEMO: dict = {}
+
+
+def _memo(spark, sf_dir, name, fn):
+    """Share one fitted result between catalogue entries of the same session and data
+    (e.g. the pooled model feeds metrics, coefficients and misses), as a result table
+    written once would be."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
 
 
 def _known(spark, sf_dir):
     return C.load_known(C.cleaned_incidents(spark, sf_dir))
 
 
+def _pooled(spark, sf_dir):
+    return _memo(spark, sf_dir, "pooled", lambda: MO.pooled_baseline(_known(spark, sf_dir)))
+
+
+def _stratified(spark, sf_dir):
+    return _memo(spark, sf_dir, "stratified", lambda: MO.stratified_models(
+        _known(spark, sf_dir), algorithms=("LR", "RF"), rf_grid=QUERY_RF_GRID))
+
+
+def _ablation(spark, sf_dir):
+    return _memo(spark, sf_dir, "ablation", lambda: MO.ablation(_known(spark, sf_dir)))
+
+
 def _metric_rows(spark, rows, extra=""):
     keys = [c.split()[0] for c in (METRIC_SCHEMA + extra).split(", ")]
     return spark.createDataFrame([tuple(r.get(k) for k in keys) for r in rows], METRIC_SCHEMA + extra)
@@ -31,14 +57,14 @@ def _metric_rows(spark, rows, extra=""):
 @register("pooled_baseline")
 def pooled_baseline(spark, sf_dir):
     """Pooled LR, C=1, t=0.5: overall and per-level test metrics."""
-    metrics, _, _ = MO.pooled_baseline(_known(spark, sf_dir))
+    metrics, _, _ = _pooled(spark, sf_dir)
     return metrics
 
 
 @register("coefficients")
 def coefficients(spark, sf_dir):
     """Pooled LR coefficients and odds ratios sorted by |coef| (I7, I14: rank <= 12 = top odds)."""
-    _, coefs, _ = MO.pooled_baseline(_known(spark, sf_dir))
+    _, coefs, _ = _pooled(spark, sf_dir)
     rows = [(i + 1, r["feature"], r["coefficient"], r["odds_ratio"]) for i, r in enumerate(coefs)]
     return spark.createDataFrame(rows, "rank int, feature string, coefficient double, odds_ratio double")
 
@@ -46,15 +72,14 @@ def coefficients(spark, sf_dir):
 @register("lr_false_negatives")
 def lr_false_negatives(spark, sf_dir):
     """Missed severe incidents of the pooled LR (B8 on a fitted model)."""
-    _, _, fn = MO.pooled_baseline(_known(spark, sf_dir))
+    _, _, fn = _pooled(spark, sf_dir)
     return fn.select("incident_key", "automation_level", "roadway_type", "crash_with", "prob")
 
 
 @register("stratified_models")
 def stratified_models(spark, sf_dir):
     """Per level: LR C-grid and a reduced forest grid, threshold from validation."""
-    res, _ = MO.stratified_models(_known(spark, sf_dir), algorithms=("LR", "RF"),
-                                  rf_grid=QUERY_RF_GRID)
+    res, _ = _stratified(spark, sf_dir)
     return _metric_rows(spark, res, ", threshold double, automation_level string, algorithm string, "
                                     "feature_set string, split_type string")
 
@@ -62,16 +87,16 @@ def stratified_models(spark, sf_dir):
 @register("best_per_level")
 def best_per_level(spark, sf_dir):
     """Hard-coded choice RF for ADS, LR for L2."""
-    res, _ = MO.stratified_models(_known(spark, sf_dir), algorithms=("LR", "RF"),
-                                  rf_grid=QUERY_RF_GRID)
+    res, _ = _stratified(spark, sf_dir)
     return _metric_rows(spark, MO.best_per_level(res), ", automation_level string, algorithm string")
 
 
 @register("importances")
 def importances(spark, sf_dir):
     """Forest feature importances, ADS narrative + tabular features (I8)."""
-    _, tables = MO.stratified_models(_known(spark, sf_dir), algorithms=("RF",), rf_grid=QUERY_RF_GRID)
-    rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() for r in t]
+    _, tables = _stratified(spark, sf_dir)
+    rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() if k.startswith("rf_")
+            for r in t]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
@@ -85,13 +110,13 @@ def boosted_fit(spark, sf_dir):
 @register("ablation")
 def ablation(spark, sf_dir):
     """Tabular vs narrative feature sets, ADS and pooled."""
-    return _metric_rows(spark, MO.ablation(_known(spark, sf_dir)))
+    return _metric_rows(spark, _ablation(spark, sf_dir))
 
 
 @register("nav_coefficients")
 def nav_coefficients(spark, sf_dir):
     """Narrative-flag coefficients of the combined ADS model."""
-    rows = [r for m in MO.ablation(_known(spark, sf_dir)) for r in m.get("nav_coefficients", [])]
+    rows = [r for m in _ablation(spark, sf_dir) for r in m.get("nav_coefficients", [])]
     return spark.createDataFrame([(r["feature"], r["coefficient"]) for r in rows],
                                  "feature string, coefficient double")
 
@@ -99,9 +124,8 @@ def nav_coefficients(spark, sf_dir):
 @register("pooled_vs_stratified")
 def pooled_vs_stratified(spark, sf_dir):
     """Pooled model's ADS slice beside the stratified ADS choice."""
-    known = _known(spark, sf_dir)
-    pooled, _, _ = MO.pooled_baseline(known)
-    strat, _ = MO.stratified_models(known, algorithms=("RF",), rf_grid=QUERY_RF_GRID)
+    pooled, _, _ = _pooled(spark, sf_dir)
+    strat, _ = _stratified(spark, sf_dir)
     return MO.pooled_vs_stratified(pooled, strat, spark)
 
 

@@ -98,3 +98,29 @@ def archived_internal_rename() -> dict[str, str]:
 
 __all__ = ["RAW_REPORTS_SQL", "TIEBREAK_COLS", "raw_reports", "raw_extracts",
            "archived_internal_rename", "register_tables", "ARCHIVED_RENAME"]
+
+
+def write_raw_extracts(spark: SparkSession, sf_dir: str, out_dir: str) -> list:
+    """Write the view as four raw CSV extracts (level x era), raw column names,
+    archived ones with archived names and Latin-1 for the archived L2 file, as the
+    reference's inputs are laid out. Returns the ``Extract`` list to scan them."""
+    from .. import schema as S
+    from .extracts import Extract
+    inv = {v: k for k, v in S.RAW_TO_INTERNAL.items()}
+    arch_inv = {v: k for k, v in S.ARCHIVED_RENAME.items()}
+    raw = raw_reports(spark, sf_dir)
+    cols = [c for c in raw.columns if c in inv]
+    out = []
+    for level, era, enc in (("ADS", "current", "UTF-8"), ("L2", "current", "UTF-8"),
+                            ("ADS", "archived", "UTF-8"), ("L2", "archived", "ISO-8859-1")):
+        part = raw.where((raw.automation_level == level) & (raw.era == era))
+        names = {c: inv[c] for c in cols}
+        if era == "archived":
+            names = {c: arch_inv.get(n, n) for c, n in names.items()}
+        path = f"{out_dir.rstrip('/')}/{level}_{era}"
+        (part.select(*[part[c].alias(n) for c, n in names.items()])
+             .write.mode("overwrite").option("header", True).option("encoding", enc)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .csv(path))
+        out.append(Extract(path, enc, level, era))
+    return out
