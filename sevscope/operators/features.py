@@ -135,7 +135,9 @@ def fit_features(train: DataFrame, features: list[str], scale_numeric: bool = Tr
                                 stringOrderType="alphabetAsc", handleInvalid="keep"),
                   OneHotEncoder(inputCols=[f"__ix_{c}" for c in categorical],
                                 outputCols=[f"__oh_{c}" for c in categorical],
-                                dropLast=True, handleInvalid="keep")]
+                                # the indexer already appends an "unseen" slot; dropLast
+                                # removes exactly that slot, so unseen/new levels -> zeros
+                                dropLast=True, handleInvalid="error")]
         encoder = Pipeline(stages=stages).fit(filled)
         for c, labels in zip(categorical, encoder.stages[0].labelsArray):
             names += [f"{c}_{v}" for v in labels]
