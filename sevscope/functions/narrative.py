@@ -124,6 +124,42 @@ NAV_DESCRIPTIONS = {
 
 # ---------------------------------------------------------------------------
 
+# Prefilters (own optimisation, not reference values): every match of a pattern on
+# lower-cased text contains at least one of these literals, so
+# ``contains(any) AND rlike(pattern)`` equals ``rlike(pattern)``; the cheap
+# substring test lets most texts skip the regex scan. Checked in tests.
+REQUIRED_LITERALS = {
+    "nav_av_stopped": ["stop", "stationary", "parked", "at rest"],
+    "nav_av_moving": ["travel", "proceed", "moving", "driving", "was in motion", "drove"],
+    "nav_av_turning": ["turn"],
+    "nav_av_changing_lanes": ["chang", "merg"],
+    "nav_av_reversing": ["revers", "backing up", "backed up"],
+    "nav_av_struck_other": ["struck", "hit", "made contact with", "collided with", "ran into"],
+    "nav_other_struck_av": ["struck", "hit", "made contact with", "collided with", "ran into",
+                            "rear", "sideswiped"],
+    "nav_rear_approach": ["approach", "rear", "behind the "],
+    "nav_at_intersection": ["intersection", "red light", "stop sign", "stop light", "traffic signal",
+                            "yield sign", "crosswalk", "at the light", "at a light"],
+    "nav_on_highway": ["freeway", "highway", "interstate", "i-", "us-", "expressway", "on-ramp",
+                       "off-ramp"],
+    "nav_in_parking_lot": ["parking "],
+    "nav_left_turn": ["left"],
+    "nav_lane_change": ["chang", "merg", "mov"],
+    "nav_vulnerable_user": ["pedestrian", "cyclist", "bicycle", "bike", "scooter", "person on foot",
+                            "moped"],
+    "nav_emergency_vehicle": ["police", "fire truck", "firetruck", "ambulance", "emergency vehicle",
+                              "first responder", "law enforcement", "patrol car"],
+    "nav_large_vehicle": ["bus", "semi", "tractor", "delivery truck", "garbage truck", "box truck",
+                          "heavy truck", "wheeler"],
+    "nav_av_disengaged": ["disengag", "took ", "manual override", "switched to manual"],
+    "nav_hazard_lights": ["hazard ", "emergency light", "flashers"],
+    "nav_double_parked": ["double", "blocking ", "stopped in ", "obstructing "],
+    "nav_speed_mentioned": ["mph", "speed of ", "traveling at "],
+    "nav_minor_damage_lang": ["damage"],
+}
+HEADER_PREFILTER = r"(?iu)standing general order|sgo"
+SUPPLEMENT_PREFILTER = r"(?iu)waymo may supplement"
+
 NAV_FEATURES = [n for n, _, _ in NAV_PATTERNS]
 HAS_NARRATIVE = "nav_has_narrative"
 ALL_FLAGS = NAV_FEATURES + [HAS_NARRATIVE]
@@ -150,8 +186,12 @@ def clean_narrative(text) -> Column:
     NULL -> empty string.
     """
     t = F.coalesce(_c(text), F.lit(""))
-    t = F.regexp_replace(t, "(?isu)" + HEADER_PATTERN, "")
-    t = F.regexp_replace(t, "(?isu)" + SUPPLEMENT_PATTERN, "")
+    # the lazy header/supplement patterns rescan the text from every "under" etc.;
+    # they can only match when their closing phrase occurs, so test that first
+    t = F.when(t.rlike(HEADER_PREFILTER), F.regexp_replace(t, "(?isu)" + HEADER_PATTERN, "")
+               ).otherwise(t)
+    t = F.when(t.rlike(SUPPLEMENT_PREFILTER),
+               F.regexp_replace(t, "(?isu)" + SUPPLEMENT_PATTERN, "")).otherwise(t)
     t = F.regexp_replace(t, PLACEHOLDER_PATTERN, " ")
     t = F.regexp_replace(t, "(?iu)" + REDACTION_TOKEN_PATTERN, " ")
     return F.btrim(t, F.lit(WHITESPACE))
@@ -163,7 +203,20 @@ def is_redacted(text) -> Column:
     return t.isNull() | t.rlike("(?iu)" + REDACTED_PATTERN)
 
 
-def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative") -> DataFrame:
+def flag_expr(text: Column, name: str, pattern: str, dotall: bool, prefilter: bool = True) -> Column:
+    """``rlike`` of one flag pattern on lower-cased text, behind its literal prefilter."""
+    hit = text.rlike(java_pattern(pattern, dotall))
+    if not prefilter:
+        return hit
+    lits = REQUIRED_LITERALS[name]
+    any_lit = text.contains(lits[0])
+    for lit in lits[1:]:
+        any_lit = any_lit | text.contains(lit)
+    return any_lit & hit
+
+
+def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative",
+                           prefilter: bool = True) -> DataFrame:
     """Add 21 ``nav_*`` flags and ``nav_has_narrative`` as int 0/1.
 
     The cleaned lower-cased text is computed once in its own projection and the 22
@@ -182,7 +235,7 @@ def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative") -> D
     })
     ok = F.col("__nav_ok")
     t = F.col("__nav_t")
-    flags = {name: (ok & t.rlike(java_pattern(p, dot))).cast("int")
+    flags = {name: (ok & flag_expr(t, name, p, dot, prefilter)).cast("int")
              for name, p, dot in NAV_PATTERNS}
     flags[HAS_NARRATIVE] = ok.cast("int")
     return staged.withColumns(flags).drop("__nav_clean", "__nav_redacted", "__nav_ok", "__nav_t")

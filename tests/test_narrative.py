@@ -96,3 +96,33 @@ def test_clean_narrative(spark):
                                 (None,)], "t string")
     got = [r[0] for r in df.select(N.clean_narrative("t")).collect()]
     assert got == ["The AV   stopped", ""]
+
+
+def test_required_literals_are_necessary():
+    """Every regex match contains one of its flag's prefilter literals (pure Python check)."""
+    rng = __import__("random").Random(5)
+    vocab = re.findall(r"[a-z0-9\-]+", " ".join(p for _, p, _ in N.NAV_PATTERNS).lower())
+    vocab += ["the", "a", "other", "vehicle", "av", "waymo", "subject", "lane", "from", "into",
+              "12", "mph", "at", "of", "behind", "\n", "-", "."]
+    seps = [" ", " ", " ", "", "-", "\n"]
+    for _ in range(4000):
+        text = "".join(rng.choice(vocab) + rng.choice(seps) for _ in range(rng.randint(1, 12)))
+        for name, pat, dot in N.NAV_PATTERNS:
+            for m in re.finditer(pat, text, re.S if dot else 0):
+                assert any(lit in m.group(0) for lit in N.REQUIRED_LITERALS[name]), (name, m.group(0))
+
+
+def test_prefilter_does_not_change_flags(spark):
+    from tests.conftest import SF_ORACLE
+    from sevscope.sources import fixtures
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", F_col("text").alias("narrative"))
+    raw = fixtures.raw_reports(spark, SF_ORACLE).select(F_col("report_id").alias("doc_id"), "narrative")
+    for df in (docs, raw):
+        a = N.attach_narrative_flags(df, prefilter=True).select(*N.ALL_FLAGS)
+        b = N.attach_narrative_flags(df, prefilter=False).select(*N.ALL_FLAGS)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def F_col(c):
+    from pyspark.sql import functions as F
+    return F.col(c)
