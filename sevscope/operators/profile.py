@@ -51,21 +51,35 @@ def class_distribution(df: DataFrame, label: str, subsets: dict[str, Column | No
 def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) -> DataFrame:
     """Per column: type, non-NULL count, distinct count, first non-NULL value.
 
-    "First" follows ``order_col`` (the table's row order), via ``min_by`` with a
-    NULL ordering where the value is NULL. ``approximate=True`` swaps the exact
-    distinct count (one Expand row per column) for HyperLogLog++ at scale.
+    The table is unpivoted once into (column, value-as-text, order key) and then
+    reduced by hash aggregates: distinct (column, value) pairs with their counts
+    give both the non-NULL and the distinct count, and ``min_by`` over the order
+    key gives the first value in table order. This avoids one expanded copy of
+    every row per exact distinct count. ``approximate=True`` uses HyperLogLog++.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = df.columns
     o = F.col(order_col)
-    structs = []
-    for c in df.columns:
-        nd = F.approx_count_distinct(c) if approximate else F.count_distinct(c)
-        ex = F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), o))
-        structs.append(F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"),
-                                F.count(c).alias("n_nonnull"), nd.alias("n_unique"),
-                                F.coalesce(ex, F.lit("")).alias("example")).alias(f"__{c}"))
-    row = df.agg(*structs)
-    return row.select(F.inline(F.array(*[F.col(f"__{c}") for c in df.columns])))
+    long = df.select(o.alias("__o"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
+    ])).alias("__x")).select("__o", "__x.column_name", "__x.v").where(F.col("v").isNotNull())
+    if approximate:
+        stats = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_nonnull"),
+                                                F.approx_count_distinct("v").alias("n_unique"))
+    else:
+        pairs = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("__n"))
+        stats = pairs.groupBy("column_name").agg(F.sum("__n").alias("n_nonnull"),
+                                                 F.count(F.lit(1)).alias("n_unique"))
+    first = long.groupBy("column_name").agg(F.min_by("v", "__o").alias("example"))
+    meta = df.sparkSession.createDataFrame([(c, types[c], i) for i, c in enumerate(cols)],
+                                           "column_name string, dtype string, __pos int")
+    out = (F.broadcast(meta).join(stats, "column_name", "left")
+           .join(first, "column_name", "left"))
+    return out.orderBy("__pos").select(
+        "column_name", "dtype",
+        F.coalesce("n_nonnull", F.lit(0)).cast("bigint").alias("n_nonnull"),
+        F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"),
+        F.coalesce("example", F.lit("")).alias("example"))
 
 
 def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
