@@ -83,7 +83,7 @@ def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) ->
 
 
 def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
-                   share_of: str = "rows") -> DataFrame:
+                   total: int | None = None) -> DataFrame:
     """Top-n values of ``col`` (NULLs excluded) with their share of all rows.
 
     Ties: count desc, then value asc. With ``by``, top-n per group via a window over
@@ -101,7 +101,7 @@ def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
     else:
         # global top-n: TakeOrderedAndProject keeps n rows per task, no full sort;
         # the denominator is one number, passed as a literal
-        total = df.count()
+        total = df.count() if total is None else total
         top = counts.orderBy(F.desc("n"), F.asc(col)).limit(n)
         ranked = (top.withColumn("rank", F.row_number().over(w))
                      .withColumn("__total", F.lit(total)))

@@ -16,7 +16,7 @@ from ..functions import flags as FL
 from ..operators.consolidate import consolidate
 from ..operators.dedup import latest_version
 from ..operators.impute import add_missing_indicators, missing_and_impute  # noqa: F401
-from ..session import cut_lineage
+from ..session import cut_lineage, write_stage
 from ..sources import fixtures
 
 
@@ -69,8 +69,21 @@ def clean(raw: DataFrame, tiebreak_cols=fixtures.TIEBREAK_COLS,
     return CleanResult(inc, ind, fills)
 
 
+_CLEANED: dict = {}
+
+
 def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(fixtures.raw_reports(spark, sf_dir)).table
+    """The cleaned incident table for ``sf_dir``, built once per application.
+
+    As in the reference (its cleaning step writes one table that every later step
+    reads), the table is written once - parquet partitioned by era and level in the
+    shared checkpoint folder - and later queries scan it with pruning/pushdown.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CLEANED:
+        table = clean(fixtures.raw_reports(spark, sf_dir)).table
+        _CLEANED[key] = write_stage(table, "cleaned", partition_by=("era", "automation_level"))
+    return _CLEANED[key]
 
 
 def load_known(table: DataFrame) -> DataFrame:

@@ -87,11 +87,13 @@ def cluster_level(known: DataFrame, level: str = "ADS", key: str = "incident_key
     X = cut_lineage(cluster_matrix(slice_df, tab + N.NAV_FEATURES))
     best_k, scores = select_k(X.select(key, "features"), key, k_range, n_init_search)
     model, _ = fit_kmeans(X, best_k, n_init_final)
-    assigned = cut_lineage(model.transform(X).drop("features"))
+    assigned = model.transform(X).drop("features")
+    # cluster first, then the incident columns
+    assigned = cut_lineage(assigned.select("cluster", *[c for c in assigned.columns if c != "cluster"]))
     prof = K.cluster_profile(assigned, "cluster", S.PROFILE_COLS, pct_name=f"pct_of_{level.lower()}")
     flags = [c for c in assigned.columns if c.startswith("nav_")]
     lift = K.flag_lift(assigned, "cluster", flags)
-    labelled = K.scenario_labels(prof, lift, "cluster")
+    labelled = K.scenario_labels(prof, lift, "cluster").withColumn("automation_level", F.lit(level))
     return ClusterJob(best_k, scores, assigned, labelled, K.top_lifts(lift, "cluster", 3),
                       K.crosstab(assigned, "cluster", "roadway_type"))
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import narrative as N
+from ..functions.flags import threshold_decision
 from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import splits as SP
@@ -95,7 +96,7 @@ def spw_options(train: DataFrame) -> list[float]:
 
 def evaluate_at(scored: DataFrame, threshold: float, by: list[str] | None = None) -> dict | list:
     """Metrics of ``prob >= threshold`` (F16, F17, E3); one row per group."""
-    pred = scored.withColumn("pred", (F.col("prob") >= F.lit(float(threshold))).cast("int"))
+    pred = scored.withColumn("pred", threshold_decision("prob", threshold))
     rows = M.evaluate(pred, LABEL, "pred", "prob", by, digits=None).collect()
     return [r.asDict() for r in rows]
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import flags as FL
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import splits as SP
@@ -33,7 +34,7 @@ SCORE_SQL = ("(cast(severe as bigint) * 30 + (cast(floor(sv_speed_mph) as bigint
 def scored(spark, sf_dir):
     known = C.load_known(C.cleaned_incidents(spark, sf_dir))
     s = known.withColumn("score", score_expr())
-    return s.withColumn("pred", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    return s.withColumn("pred", FL.threshold_decision("score", 0.5))
 
 
 def chain_scored() -> str:
@@ -177,9 +178,10 @@ _TOP_COLS = ["roadway_type", "crash_with", "sv_movement", "cp_movement", "automa
 def top_categories(spark, sf_dir):
     t = scored(spark, sf_dir).where(F.col("era") == "current")
     fn = M.false_negatives(t, "severe", "pred").cache()
+    total = fn.count()
     out = None
     for c in _TOP_COLS:
-        part = P.top_categories(fn, c, 5).select(F.lit(c).alias("column_name"), "rank", "value",
+        part = P.top_categories(fn, c, 5, total=total).select(F.lit(c).alias("column_name"), "rank", "value",
                                                  "n", "share")
         out = part if out is None else out.unionByName(part)
     return out

@@ -57,10 +57,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def write_stage(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Materialise ``df`` as parquet under the checkpoint folder and read it back."""
+def write_stage(df: DataFrame, name: str, partition_by=(), mode: str = "overwrite") -> DataFrame:
+    """Materialise ``df`` as a parquet table under the shared checkpoint folder and
+    read it back with the same schema. Unlike an RDD checkpoint the result keeps
+    column pruning, predicate pushdown and (with ``partition_by``) directory pruning."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/stages/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.mode(mode).parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
