@@ -132,10 +132,12 @@ def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
 
 
 def _attach_single(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Attach the one-row ``right`` to the one-row ``left`` by a constant key."""
-    k = "__one"
-    return (left.withColumn(k, F.lit(1))
-                .join(F.broadcast(right.withColumn(k, F.lit(1))), k).drop(k))
+    """Attach the columns of the one-row ``right`` to ``left`` as literals (one row
+    through the driver; no join, so no cartesian product in the plan)."""
+    row = right.first()
+    vals = row.asDict() if row is not None else {c: None for c in right.columns}
+    types = {f.name: f.dataType for f in right.schema.fields}
+    return left.withColumns({c: F.lit(vals[c]).cast(types[c]) for c in right.columns})
 
 
 def miss_summary(df: DataFrame, label: str, pred: str, by: list[str],
