@@ -150,11 +150,8 @@ def miss_summary(df: DataFrame, label: str, pred: str, by: list[str],
     base = base.withColumn("fn_rate", F.round(F.col("FN") / F.greatest(F.col("total_severe"),
                                                                       F.lit(1)), 6))
     fn = false_negatives(df, label, pred)
+    from .clusters import group_mode
     for col, out_name in top_cols.items():
-        counts = fn.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
-        # category vocabulary per group is small; the window runs over value counts
-        w = Window.partitionBy(*by).orderBy(F.desc("__n"), F.asc(col))
-        top = (counts.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1)
-                     .select(*by, F.col(col).alias(out_name)))
+        top = group_mode(fn, by, col).select(*by, F.col("value").alias(out_name))
         base = base.join(top, by, "left")
     return base.fillna({v: "N/A" for v in top_cols.values()})

@@ -111,7 +111,10 @@ def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
 
 def mode(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
     """Most frequent non-NULL value per group (E4), ties -> smallest value."""
-    return top_categories(df, col, 1, by).drop("rank")
+    if by:
+        from .clusters import group_mode
+        return group_mode(df, by, col)
+    return top_categories(df, col, 1).drop("rank")
 
 
 def mean_flags_long(df: DataFrame, flags: list[str], by: list[str] | None = None,
