@@ -150,8 +150,8 @@ def miss_summary(df: DataFrame, label: str, pred: str, by: list[str],
     base = base.withColumn("fn_rate", F.round(F.col("FN") / F.greatest(F.col("total_severe"),
                                                                       F.lit(1)), 6))
     fn = false_negatives(df, label, pred)
-    from .clusters import group_mode
-    for col, out_name in top_cols.items():
-        top = group_mode(fn, by, col).select(*by, F.col("value").alias(out_name))
-        base = base.join(top, by, "left")
+    from .clusters import group_modes
+    tops = group_modes(fn, by, list(top_cols))
+    base = base.join(tops.select(*by, *[F.col(f"{c}__value").alias(o) for c, o in top_cols.items()]),
+                     by, "left")
     return base.fillna({v: "N/A" for v in top_cols.values()})
