@@ -239,3 +239,11 @@ def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative",
              for name, p, dot in NAV_PATTERNS}
     flags[HAS_NARRATIVE] = ok.cast("int")
     return staged.withColumns(flags).drop("__nav_clean", "__nav_redacted", "__nav_ok", "__nav_t")
+
+
+def ensure_narrative_flags(df: DataFrame, narrative_col: str = "narrative") -> DataFrame:
+    """``df`` as is when it already carries all 22 flag columns (e.g. the flagged
+    stage table), else ``attach_narrative_flags``."""
+    if all(c in df.columns for c in ALL_FLAGS):
+        return df
+    return attach_narrative_flags(df, narrative_col)

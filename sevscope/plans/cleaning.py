@@ -88,6 +88,25 @@ def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _CLEANED[key]
 
 
+_FLAGGED: dict = {}
+
+
+def flagged_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled incidents with the 22 narrative flags, written once per application.
+
+    The reference attaches the flags again in every modelling and clustering
+    script; here the regexes run once over the labelled incidents and the
+    result is a parquet stage table (partitioned like the cleaned table) that
+    every model and cluster job scans with pruning.
+    """
+    from ..functions.narrative import attach_narrative_flags
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FLAGGED:
+        flagged = attach_narrative_flags(load_known(cleaned_incidents(spark, sf_dir)))
+        _FLAGGED[key] = write_stage(flagged, "flagged", partition_by=("era", "automation_level"))
+    return _FLAGGED[key]
+
+
 def load_known(table: DataFrame) -> DataFrame:
     """Labelled subset (A8); on a parquet table the predicate reaches the scan."""
     return table.where(F.col("severity_known") == 1)

@@ -78,7 +78,7 @@ def cluster_level(known: DataFrame, level: str = "ADS", key: str = "incident_key
                   k_range=K_RANGE, n_init_search: int = N_INIT_SEARCH,
                   n_init_final: int = N_INIT_FINAL) -> ClusterJob:
     """The ADS job and the by-level job are one parameterised job."""
-    flagged = N.attach_narrative_flags(known)
+    flagged = N.ensure_narrative_flags(known)
     slice_df = flagged.where(F.col("automation_level") == level)
     n = slice_df.count()
     if n < MIN_ROWS:

@@ -226,7 +226,7 @@ def stratified_models(known: DataFrame, algorithms=("LR", "RF", "XGB"), lr_grid=
 
     ADS uses tabular + 21 narrative flags; L2 tabular only.
     """
-    flagged = N.attach_narrative_flags(known)
+    flagged = N.ensure_narrative_flags(known)
     tab = [f for f in context_features(flagged) if f != "automation_level"]
     results, tables = [], {}
     for level, feats in (("ADS", tab + N.NAV_FEATURES), ("L2", tab)):
@@ -263,7 +263,7 @@ def ablation(known: DataFrame) -> list[dict]:
 
     ADS slice: three sets; pooled: tabular and tabular + narrative (no level feature).
     """
-    flagged = N.attach_narrative_flags(known)
+    flagged = N.ensure_narrative_flags(known)
     tab = [f for f in S.TABULAR_FEATURES if f in flagged.columns]
     train_all = flagged.where(F.col("era") == "archived")
     test_all = flagged.where(F.col("era") == "current")
@@ -294,7 +294,7 @@ def fixed_refit_misses(known: DataFrame, gbt_rounds: int = GBT_ROUNDS):
     ADS: boosted (lr .05, depth 5, spw = sub-train neg/pos/2, t = .46);
     L2: LR (C = .1, t = .20). Returns (summary rows, {model: FN frame}).
     """
-    flagged = N.attach_narrative_flags(known)
+    flagged = N.ensure_narrative_flags(known)
     tab = [f for f in context_features(flagged) if f != "automation_level"]
     summaries, misses = [], {}
     for level, feats in (("ADS", tab + N.NAV_FEATURES), ("L2", tab)):

@@ -21,8 +21,7 @@ _KEEP = "incident_key, severe, automation_level, report_month, " + ", ".join(PRO
 
 
 def clustered(spark, sf_dir):
-    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
-    flagged = N.attach_narrative_flags(known)
+    flagged = C.flagged_known(spark, sf_dir)
     return flagged.withColumn("cluster", (F.col("report_month") % 4).cast("int"))
 
 
@@ -93,7 +92,7 @@ from prof join (select * from (select *, row_number() over (partition by cluster
 
 @register("scenario_label", _label_sql())
 def scenario_label(spark, sf_dir):
-    df = clustered(spark, sf_dir).cache()
+    df = clustered(spark, sf_dir)  # a scan of the flagged stage table, read twice
     prof = K.cluster_profile(df, "cluster", PROFILE)
     lift = K.flag_lift(df, "cluster", N.ALL_FLAGS)
     return K.scenario_labels(prof, lift, "cluster").select("cluster", "scenario_label")

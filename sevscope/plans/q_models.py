@@ -33,7 +33,8 @@ def _memo(spark, sf_dir, name, fn):
 
 
 def _known(spark, sf_dir):
-    return C.load_known(C.cleaned_incidents(spark, sf_dir))
+    """Labelled incidents with their narrative flags (the flagged stage table)."""
+    return C.flagged_known(spark, sf_dir)
 
 
 def _pooled(spark, sf_dir):
@@ -132,7 +133,7 @@ def pooled_vs_stratified(spark, sf_dir):
 @register("kmeans_select_k")
 def kmeans_select_k(spark, sf_dir):
     """Silhouette by k for the ADS slice."""
-    known = N.attach_narrative_flags(_known(spark, sf_dir))
+    known = _known(spark, sf_dir)
     ads = known.where(F.col("automation_level") == "ADS")
     tab = [c for c in MO.context_features(ads) if c != "automation_level"]
     X = CL.cut_lineage(CL.cluster_matrix(ads, tab + N.NAV_FEATURES))
