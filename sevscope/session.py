@@ -47,14 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
+    """Cut ``df``'s lineage with a table written to the shared checkpoint folder.
 
     Used before driver-side loops over one table (model grids, k search) so a
-    lost executor re-reads the checkpoint instead of recomputing the whole plan.
+    lost executor re-reads the written files instead of recomputing the whole
+    plan. A parquet stage table (``write_stage``) rather than an RDD checkpoint:
+    the plan runs once (a reliable RDD checkpoint of an unpersisted frame runs
+    it twice, once for the action and once to save it), and the read-back is
+    columnar, so later scans prune columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    return write_stage(df, name)
 
 
 def write_stage(df: DataFrame, name: str, partition_by=(), mode: str = "overwrite") -> DataFrame:
