@@ -86,8 +86,12 @@ def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
                    total: int | None = None) -> DataFrame:
     """Top-n values of ``col`` (NULLs excluded) with their share of all rows.
 
-    Ties: count desc, then value asc. With ``by``, top-n per group via a window over
-    the (small) per-group value counts, never over raw rows.
+    Ties: count desc, then value asc. With ``by``, top-n per group in two window
+    steps over the value counts, never over raw rows: counts are salted by a hash
+    of the value into ``shuffle.partitions`` sub-groups, each keeps its own top-n,
+    and only those survivors (at most ``n x salts`` rows per group) are ranked per
+    group. Exact, because a group's top-n values are each in their sub-group's
+    top-n; and a hot group's vocabulary is sorted across many tasks, not one.
     """
     by = list(by or [])
     counts = (df.where(F.col(col).isNotNull())
@@ -96,7 +100,12 @@ def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
     w = Window.partitionBy(*by).orderBy(F.desc("n"), F.asc(col)) if by else \
         Window.orderBy(F.desc("n"), F.asc(col))
     if by:
-        ranked = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = counts.withColumn("__s", F.pmod(F.xxhash64(F.col(col)), F.lit(salts)))
+        w_s = Window.partitionBy(*by, "__s").orderBy(F.desc("n"), F.asc(col))
+        local = (salted.withColumn("__r", F.row_number().over(w_s))
+                       .where(F.col("__r") <= n).drop("__s", "__r"))
+        ranked = local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
         ranked = ranked.join(totals, by)
     else:
         # global top-n: TakeOrderedAndProject keeps n rows per task, no full sort;

@@ -39,3 +39,21 @@ def test_pooled_model_beats_random(spark):
     overall = metrics.where(F.col("model") == "Logistic Regression").first()
     assert overall.roc_auc > 0.55
     assert len(coefs) > 0 and fn.count() == overall.FN
+
+
+def test_group_top_n_with_hot_group_matches_brute_force(spark):
+    """Per-group top-n (salted two-step) equals a plain sort of each group's counts,
+    with one group holding most rows and many tied counts."""
+    from collections import Counter
+
+    from sevscope.operators.profile import top_categories
+    rows = [("hot", f"v{i % 97}") for i in range(3000)] + [("hot", "zz")] * 40 + \
+           [("cold", f"v{i % 5}") for i in range(23)] + [("cold", None)] * 4
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = {(r.g, r.rank): (r.value, r.n) for r in top_categories(df, "v", 4, by=["g"]).collect()}
+    exp = {}
+    for g in ("hot", "cold"):
+        c = Counter(v for gg, v in rows if gg == g and v is not None)
+        top = sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[:4]
+        exp.update({(g, i + 1): kv for i, kv in enumerate(top)})
+    assert got == exp
