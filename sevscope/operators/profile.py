@@ -51,33 +51,36 @@ def class_distribution(df: DataFrame, label: str, subsets: dict[str, Column | No
 def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) -> DataFrame:
     """Per column: type, non-NULL count, distinct count, first non-NULL value.
 
-    The table is unpivoted once into (column, value-as-text, order key) and then
-    reduced by hash aggregates: distinct (column, value) pairs with their counts
-    give both the non-NULL and the distinct count, and ``min_by`` over the order
-    key gives the first value in table order. This avoids one expanded copy of
-    every row per exact distinct count. ``approximate=True`` uses HyperLogLog++.
+    Non-NULL counts and the first value in table order (``min_by`` over the order
+    key, NULLs skipped) come from one global aggregate over the table as it is -
+    no grouping key, so no sort and one partial row per task. The exact distinct
+    counts unpivot the table once into (column, value-as-text) and reduce it with
+    a hash aggregate on the pairs, instead of one expanded copy of every row per
+    ``count(distinct)``. ``approximate=True`` puts HyperLogLog++ counts into the
+    global aggregate and skips the unpivot.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     cols = df.columns
     o = F.col(order_col)
-    long = df.select(o.alias("__o"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
-    ])).alias("__x")).select("__o", "__x.column_name", "__x.v").where(F.col("v").isNotNull())
-    if approximate:
-        stats = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_nonnull"),
-                                                F.approx_count_distinct("v").alias("n_unique"))
-    else:
-        pairs = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("__n"))
-        stats = pairs.groupBy("column_name").agg(F.sum("__n").alias("n_nonnull"),
-                                                 F.count(F.lit(1)).alias("n_unique"))
-    first = long.groupBy("column_name").agg(F.min_by("v", "__o").alias("example"))
-    meta = df.sparkSession.createDataFrame([(c, types[c], i) for i, c in enumerate(cols)],
-                                           "column_name string, dtype string, __pos int")
-    out = (F.broadcast(meta).join(stats, "column_name", "left")
-           .join(first, "column_name", "left"))
-    return out.orderBy("__pos").select(
+    fields = []
+    for i, c in enumerate(cols):
+        parts = [F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"),
+                 F.lit(i).alias("__pos"), F.count(c).alias("n_nonnull"),
+                 F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), o)).alias("example")]
+        if approximate:
+            parts.append(F.approx_count_distinct(c).alias("n_unique"))
+        fields.append(F.struct(*parts).alias(f"__c{i}"))
+    info = df.agg(*fields).select(F.inline(F.array(*[F.col(f"__c{i}") for i in range(len(cols))])))
+    if not approximate:
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
+        ]))).where(F.col("v").isNotNull())
+        uniq = (long.select("column_name", "v").distinct()
+                    .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_unique")))
+        info = info.join(uniq, "column_name", "left")
+    return info.orderBy("__pos").select(
         "column_name", "dtype",
-        F.coalesce("n_nonnull", F.lit(0)).cast("bigint").alias("n_nonnull"),
+        F.col("n_nonnull").cast("bigint").alias("n_nonnull"),
         F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"),
         F.coalesce("example", F.lit("")).alias("example"))
 
