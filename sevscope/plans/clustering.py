@@ -30,6 +30,8 @@ SILHOUETTE_SAMPLE = 2000
 EXPLORE_SAMPLE = 2500
 SEED = 42
 MIN_ROWS = 30
+# concurrent k-means restarts (Spark jobs) per fit
+FIT_PARALLELISM = 4
 
 
 def cluster_matrix(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -39,16 +41,35 @@ def cluster_matrix(df: DataFrame, features: list[str], out: str = "features") ->
     return FE.standardise_vector(raw, "__raw", out).drop("__raw")
 
 
-def fit_kmeans(df: DataFrame, k: int, n_init: int, seed: int = SEED, features: str = "features"):
-    """Best of ``n_init`` distributed k-means runs by training cost."""
-    best = None
-    for i in range(n_init):
+def fit_kmeans(df: DataFrame, k: int, n_init: int, seed: int = SEED, features: str = "features",
+               parallelism: int = FIT_PARALLELISM):
+    """Best of ``n_init`` distributed k-means runs by training cost.
+
+    The restarts are independent Spark jobs submitted from a small thread pool (as
+    ``CrossValidator(parallelism=...)`` does), so small fits share the executors
+    instead of queueing; the input is persisted once for all of them. The winner
+    is the lowest (cost, restart index), whatever order the fits finish in.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+
+    def run(i):
         model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster",
                        initMode="k-means||", maxIter=300, tol=1e-4).fit(df)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    return best[1], best[0]
+        return model.summary.trainingCost, i, model
+
+    own_cache = df.storageLevel == StorageLevel.NONE
+    if own_cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
+            fits = list(pool.map(run, range(n_init)))
+    finally:
+        if own_cache:
+            df.unpersist()
+    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
+    return model, cost
 
 
 def select_k(df: DataFrame, key: str, k_range=K_RANGE, n_init: int = N_INIT_SEARCH,

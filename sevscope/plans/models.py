@@ -136,6 +136,24 @@ def _matrices(fit_df, val_df, train_df, test_df, feats, refit_on_full=False):
     return fit_m, val_m, fit_m, cut_lineage(spec_sub.transform(test_df)), spec_sub.names
 
 
+GRID_PARALLELISM = 4
+
+
+def _grid_map(fn, points, parallelism: int = GRID_PARALLELISM) -> list:
+    """Evaluate grid points as concurrent Spark jobs from a small thread pool (as
+    ``CrossValidator(parallelism=...)`` does). Results keep grid order, so ties
+    resolve exactly as in a sequential loop."""
+    from concurrent.futures import ThreadPoolExecutor
+    points = list(points)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(points)))) as pool:
+        return list(pool.map(fn, points))
+
+
+def _sweep_best(model, val_m) -> dict:
+    val = with_probability(model.transform(val_m))
+    return M.best_threshold(M.threshold_sweep(val, LABEL, "prob", digits=None))
+
+
 def _select(candidates):
     """Best by (meets floor, F1, recall); first wins ties (strict >)."""
     best = None
@@ -148,11 +166,7 @@ def _select(candidates):
 
 def run_lr_grid(level, fit_m, val_m, train_m, test_m, names, grid=LR_C_GRID, refit_on_full=False):
     """C grid x threshold sweep on validation, refit, test metrics."""
-    cands = []
-    for c in grid:
-        model = fit_lr(fit_m, c)
-        val = with_probability(model.transform(val_m))
-        cands.append(({"C": c}, M.best_threshold(M.threshold_sweep(val, LABEL, "prob", digits=None))))
+    cands = _grid_map(lambda c: ({"C": c}, _sweep_best(fit_lr(fit_m, c), val_m)), grid)
     _, params, b = _select(cands)
     final = fit_lr(train_m, params["C"])
     met = evaluate_at(with_probability(final.transform(test_m)), b["threshold"])[0]
@@ -163,12 +177,11 @@ def run_lr_grid(level, fit_m, val_m, train_m, test_m, names, grid=LR_C_GRID, ref
 def run_rf_grid(level, fit_m, val_m, train_m, test_m, names, grid=None, refit_on_full=False):
     """Forest grid x threshold sweep (I4)."""
     grid = grid or RF_GRID
-    cands = []
-    for n_est, depth, leaf in product(grid["n_est"], grid["depth"], grid["leaf"]):
-        model = fit_rf(fit_m, n_est, depth, leaf)
-        val = with_probability(model.transform(val_m))
-        cands.append(({"n_est": n_est, "depth": depth, "leaf": leaf},
-                      M.best_threshold(M.threshold_sweep(val, LABEL, "prob", digits=None))))
+    def point(p):
+        n_est, depth, leaf = p
+        return ({"n_est": n_est, "depth": depth, "leaf": leaf},
+                _sweep_best(fit_rf(fit_m, n_est, depth, leaf), val_m))
+    cands = _grid_map(point, product(grid["n_est"], grid["depth"], grid["leaf"]))
     _, params, b = _select(cands)
     final = fit_rf(train_m, **params)
     met = evaluate_at(with_probability(final.transform(test_m)), b["threshold"])[0]
@@ -181,12 +194,11 @@ def run_gbt_grid(level, fit_m, val_m, train_m, test_m, names, grid=None, rounds=
     """Boosted grid x threshold sweep (I5); spw options from the sub-train counts (H7)."""
     grid = grid or GBT_GRID
     spws = spw_options(fit_m)
-    cands = []
-    for lr, depth, opt in product(grid["lr"], grid["depth"], grid["spw"]):
-        model = fit_gbt(fit_m, lr, depth, spws[opt], rounds)
-        val = with_probability(model.transform(val_m))
-        cands.append(({"lr": lr, "depth": depth, "spw": round(spws[opt], 3)},
-                      M.best_threshold(M.threshold_sweep(val, LABEL, "prob", digits=None))))
+    def point(p):
+        lr, depth, opt = p
+        return ({"lr": lr, "depth": depth, "spw": round(spws[opt], 3)},
+                _sweep_best(fit_gbt(fit_m, lr, depth, spws[opt], rounds), val_m))
+    cands = _grid_map(point, product(grid["lr"], grid["depth"], grid["spw"]))
     _, params, b = _select(cands)
     final = fit_gbt(train_m, params["lr"], params["depth"],
                     params["spw"], rounds)

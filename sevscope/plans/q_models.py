@@ -137,7 +137,7 @@ def kmeans_select_k(spark, sf_dir):
     ads = known.where(F.col("automation_level") == "ADS")
     tab = [c for c in MO.context_features(ads) if c != "automation_level"]
     X = CL.cut_lineage(CL.cluster_matrix(ads, tab + N.NAV_FEATURES))
-    best, scores = CL.select_k(X.select("incident_key", "features"), "incident_key", n_init=2)
+    best, scores = CL.select_k(X.select("incident_key", "features"), "incident_key")
     return spark.createDataFrame([(s["k"], s["silhouette"], s["cost"], int(s["k"] == best))
                                   for s in scores], "k int, silhouette double, cost double, chosen int")
 
@@ -145,14 +145,14 @@ def kmeans_select_k(spark, sf_dir):
 @register("cluster_job")
 def cluster_job(spark, sf_dir):
     """Full ADS scenario clustering: k search, final fit, labelled profiles."""
-    job = CL.cluster_level(_known(spark, sf_dir), "ADS", n_init_search=2, n_init_final=3)
+    job = CL.cluster_level(_known(spark, sf_dir), "ADS")
     return job.profile
 
 
 @register("cluster_job_l2")
 def cluster_job_l2(spark, sf_dir):
     """The same job for the L2 level (by-level variant)."""
-    job = CL.cluster_level(_known(spark, sf_dir), "L2", n_init_search=2, n_init_final=3)
+    job = CL.cluster_level(_known(spark, sf_dir), "L2")
     return job.profile
 
 
@@ -165,9 +165,9 @@ def pca_projection(spark, sf_dir):
     feats = MO.context_features(known)
     spec = FE.fit_features(known, feats)
     X = CL.cut_lineage(spec.transform(known).select("incident_key", "features"))
-    best, _ = CL.select_k(X, "incident_key", CL.EXPLORE_K_RANGE, n_init=2,
+    best, _ = CL.select_k(X, "incident_key", CL.EXPLORE_K_RANGE, n_init=CL.N_INIT_SEARCH,
                           sample=CL.EXPLORE_SAMPLE)
-    model, _ = CL.fit_kmeans(X, best, 2)
+    model, _ = CL.fit_kmeans(X, best, CL.N_INIT_SEARCH)
     proj, ratio = CL.pca_projection(model.transform(X))
     return proj.select("incident_key", "cluster", "pc1", "pc2",
                        F.lit(float(ratio[0])).alias("pc1_ratio"), F.lit(float(ratio[1])).alias("pc2_ratio"))
