@@ -37,13 +37,17 @@ def get_spark(master: str | None = None, app: str = "sevscope",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only if unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Use the cluster's ``spark.checkpoint.dir``; set a local one only if unset (tests).
+
+    ``spark.checkpoint.dir`` is a core setting that a running session may not change,
+    so an unset folder is set on the SparkContext (``setCheckpointDir``) instead.
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = os.environ.get("SEVSCOPE_CHECKPOINT_DIR", DEFAULT_LOCAL_CHECKPOINT_DIR)
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -17,8 +17,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sevscope-test-ckpt-"))
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sevscope-test-ckpt-"))
     from sevscope.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
