@@ -57,3 +57,28 @@ def test_group_top_n_with_hot_group_matches_brute_force(spark):
         top = sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[:4]
         exp.update({(g, i + 1): kv for i, kv in enumerate(top)})
     assert got == exp
+
+
+def test_group_modes_one_pass_matches_brute_force(spark):
+    """Modes of several columns per group in one pass: ties -> smallest value, a
+    column with no value in a group -> NULL, a hot group holding most rows."""
+    from collections import Counter
+
+    from sevscope.operators.clusters import group_modes
+    rows = ([(0, f"r{i % 3}", "a" if i % 2 else "b") for i in range(600)]      # r0/r1/r2 tie
+            + [(1, "x", None), (1, "y", None), (1, "y", None)]                  # c2 all NULL
+            + [(2, None, "q"), (2, "z", "p"), (2, "w", "q")])
+    df = spark.createDataFrame(rows, "g int, c1 string, c2 string")
+    got = {r.g: (r.c1__value, r.c1__count, r.c2__value, r.c2__count)
+           for r in group_modes(df, "g", ["c1", "c2"]).collect()}
+
+    def mode(vals):
+        c = Counter(v for v in vals if v is not None)
+        if not c:
+            return None, None
+        return min(c.items(), key=lambda kv: (-kv[1], kv[0]))
+    exp = {}
+    for g in (0, 1, 2):
+        part = [r for r in rows if r[0] == g]
+        exp[g] = mode([r[1] for r in part]) + mode([r[2] for r in part])
+    assert got == exp
