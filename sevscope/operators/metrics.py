@@ -21,16 +21,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def confusion_counts(df: DataFrame, label: str, pred: str, by: list[str] | None = None) -> DataFrame:
-    """TP/FP/FN/TN (F16), optionally per group."""
+def confusion_counts(df: DataFrame, label: str, pred: str, by: list[str] | None = None,
+                     presence: bool = False) -> DataFrame:
+    """TP/FP/FN/TN (F16), optionally per group. ``presence`` adds the label counts
+    ``__pos`` / ``__neg`` from the same aggregate (see ``both_classes``)."""
     y, p = _c(label), _c(pred)
     aggs = [F.count_if((p == 1) & (y == 1)).alias("TP"),
             F.count_if((p == 1) & (y == 0)).alias("FP"),
             F.count_if((p == 0) & (y == 1)).alias("FN"),
             F.count_if((p == 0) & (y == 0)).alias("TN")]
+    if presence:
+        aggs += [F.count_if(y == 1).alias("__pos"), F.count_if(y == 0).alias("__neg")]
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
+def both_classes() -> Column:
+    """Both label classes occur in the group (F14), on ``presence`` counts."""
+    return (F.col("__pos") > 0) & (F.col("__neg") > 0)
+
+
 def with_rates(counts: DataFrame, digits: int | None = 6) -> DataFrame:
     """precision / recall / F1 (0 on zero denominators) and FN rate (NULL on zero)."""
     tp, fp, fn = F.col("TP"), F.col("FP"), F.col("FN")
@@ -121,10 +130,15 @@ def false_negatives(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
-             by: list[str] | None = None, digits: int | None = 6) -> DataFrame:
-    """Confusion counts + rates (+ AUC when a score is given) per group."""
+             by: list[str] | None = None, digits: int | None = 6,
+             presence: bool = False) -> DataFrame:
+    """Confusion counts + rates (+ AUC when a score is given) per group.
+
+    ``presence`` keeps ``__pos`` / ``__neg``, so a caller can drop single-class groups
+    (``both_classes()``) without another pass or a join.
+    """
     by = list(by or [])
-    out = with_rates(confusion_counts(df, label, pred, by), digits)
+    out = with_rates(confusion_counts(df, label, pred, by, presence), digits)
     if score is not None:
         auc = roc_auc(df, label, score, by, digits)
         out = out.join(auc, by) if by else _attach_single(out, auc)

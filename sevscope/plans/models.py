@@ -137,6 +137,7 @@ def _matrices(fit_df, val_df, train_df, test_df, feats, refit_on_full=False):
 
 
 GRID_PARALLELISM = 4
+ALL_SLICE = "__all__"
 
 
 def _grid_map(fn, points, parallelism: int = GRID_PARALLELISM) -> list:
@@ -220,13 +221,17 @@ def pooled_baseline(known: DataFrame):
     model = fit_lr(train_m, 1.0)
     scored = with_probability(model.transform(test_m)).withColumn(
         "pred", (F.col("prob") >= 0.5).cast("int"))
-    overall = M.evaluate(scored, LABEL, "pred", "prob", digits=None).withColumn(
-        "model", F.lit("Logistic Regression"))
-    ok = M.n_classes(scored, LABEL, ["automation_level"]).where("n_classes = 2")
-    sliced = scored.join(F.broadcast(ok.select("automation_level")), "automation_level", "left_semi")
-    per = M.evaluate(sliced, LABEL, "pred", "prob", ["automation_level"], digits=None)
-    per = per.withColumn("model", F.concat(F.lit("LR — test ["), F.col("automation_level"), F.lit("]")))
-    metrics = overall.unionByName(per.drop("automation_level"))
+    # overall and per-level metrics in one plan: each row counts once for the "all"
+    # slice and once for its level (a two-element explode feeding map-side partial
+    # aggregates); a level slice is kept only when both classes occur in it
+    every = F.col("__slice") == F.lit(ALL_SLICE)
+    sl = scored.select(LABEL, "pred", "prob", F.explode(
+        F.array(F.lit(ALL_SLICE), F.col("automation_level"))).alias("__slice"))
+    ev = M.evaluate(sl, LABEL, "pred", "prob", ["__slice"], digits=None, presence=True)
+    metrics = (ev.where(every | M.both_classes())
+                 .withColumn("model", F.when(every, F.lit("Logistic Regression")).otherwise(
+                     F.concat(F.lit("LR — test ["), F.col("__slice"), F.lit("]"))))
+                 .drop("__slice", "__pos", "__neg"))
     fn = M.false_negatives(scored, LABEL, "pred")
     return metrics, _coef_rows(model, spec.names), fn
 

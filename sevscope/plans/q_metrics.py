@@ -98,9 +98,8 @@ where automation_level in (select automation_level from test group by all
                            having count(distinct severe) = 2)""")
 def metrics_sliced(spark, sf_dir):
     t = scored(spark, sf_dir).where(F.col("era") == "current")
-    ok = M.n_classes(t, "severe", ["automation_level"]).where(F.col("n_classes") == 2)
-    t = t.join(F.broadcast(ok.select("automation_level")), "automation_level", "left_semi")
-    return M.evaluate(t, "severe", "pred", "score", ["automation_level"])
+    ev = M.evaluate(t, "severe", "pred", "score", ["automation_level"], presence=True)
+    return ev.where(M.both_classes()).drop("__pos", "__neg")
 
 
 # --- E3 ----------------------------------------------------------------------------
