@@ -23,14 +23,23 @@ class Extract:
     encoding: str
     automation_level: str
     era: str
+    # quoted fields may hold newlines; such a file is read whole by one task.
+    # False for extracts known to be newline-free gives splittable reads.
+    multi_line: bool = True
 
 
-def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """All columns as strings; quoted fields may contain newlines (A1)."""
+def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8",
+                  multi_line: bool = True) -> DataFrame:
+    """All columns as strings; quoted fields may contain newlines (A1).
+
+    ``multiLine`` parsing cannot split a file, so each file is one scan task; large
+    newline-free extracts should pass ``multi_line=False``. Either way the scan runs
+    once: the cleaning job's stage table (parquet) is what later steps read.
+    """
     return (spark.read
             .option("header", True)
             .option("encoding", encoding)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("escape", '"')
             .option("inferSchema", False)
             .option("nullValue", None)
@@ -94,7 +103,7 @@ def read_extracts(spark: SparkSession, extracts: list[Extract]) -> DataFrame:
     """
     frames = []
     for i, ex in enumerate(extracts):
-        df = normalise_missing(read_csv_text(spark, ex.path, ex.encoding))
+        df = normalise_missing(read_csv_text(spark, ex.path, ex.encoding, ex.multi_line))
         if ex.era == "archived":
             df = harmonise(df, S.ARCHIVED_RENAME)
         df = tag_provenance(df, ex.automation_level, ex.era).withColumn("source_ord", F.lit(i))
