@@ -82,3 +82,26 @@ def test_group_modes_one_pass_matches_brute_force(spark):
         part = [r for r in rows if r[0] == g]
         exp[g] = mode([r[1] for r in part]) + mode([r[2] for r in part])
     assert got == exp
+
+
+def test_capped_sample_equals_plain_top_k(spark):
+    """The counted-range sample returns exactly the rows of orderBy(hash).limit(n)."""
+    from sevscope.operators.splits import capped_sample
+    df = spark.range(0, 5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    for n in (1, 7, 300, 5000, 9000):
+        plain = [r.key for r in df.orderBy(F.xxhash64("key", F.lit(42)), "key").limit(n).collect()]
+        assert [r.key for r in capped_sample(df, "key", n).collect()] == plain
+
+
+def test_data_dictionary_distinct_counts_with_long_values(spark):
+    """Distinct counts through fixed-size fingerprints equal plain distinct counts,
+    for values on both sides of the short/long cut and repeated long texts."""
+    from sevscope.operators.profile import SHORT_VALUE_CHARS, data_dictionary
+    long_a = "x" * (SHORT_VALUE_CHARS + 1)
+    rows = [(f"id{i:03d}", long_a if i % 3 == 0 else ("y" * 200 + str(i % 5)),
+             "s" * SHORT_VALUE_CHARS if i % 2 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "id string, txt string, short string")
+    got = {r.column_name: (r.n_nonnull, r.n_unique) for r in data_dictionary(df, "id").collect()}
+    for i, c in enumerate(["id", "txt", "short"]):
+        vals = [r[i] for r in rows if r[i] is not None]
+        assert got[c] == (len(vals), len(set(vals)))
