@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..functions import flags as FL
 from ..operators.consolidate import consolidate
 from ..operators.dedup import latest_version

@@ -10,7 +10,7 @@ from ..sources import extracts as X
 from ..sources import fixtures
 from . import cleaning as C
 from .catalog import register
-from .oracle import INDICATOR_COLS, chain, injury_rank as sql_injury_rank, q, strip, yes_flag as sql_yes_flag
+from .oracle import INDICATOR_COLS, chain, injury_rank as sql_injury_rank, q, yes_flag as sql_yes_flag
 
 R6 = 6
 
