@@ -8,9 +8,11 @@
     python -m sevscope.jobs cluster    --out OUT [--level ADS]
     python -m sevscope.jobs explore    --out OUT
 
-``clean`` writes ``OUT/cleaned`` (parquet partitioned by era, level) and the data
-dictionary; every later step reads that table, as the reference's later scripts
-read its cleaned file, and writes its result tables under ``OUT/results``.
+``clean`` writes ``OUT/cleaned`` (parquet partitioned by era, level), the labelled
+incidents with their narrative flags as ``OUT/flagged`` (same layout) and the data
+dictionary; every later step reads ``OUT/flagged``, as the reference's later scripts
+read its cleaned file (and re-derive the flags), and writes its result tables under
+``OUT/results``.
 """
 from __future__ import annotations
 
@@ -84,12 +86,16 @@ def step_clean(spark: SparkSession, out: str, sf_dir: str | None = None,
     res = C.clean(raw, tiebreak)
     sinks.write_cleaned(res.table, os.path.join(out, "cleaned"))
     table = sinks.read_cleaned(spark, os.path.join(out, "cleaned"))
+    # the labelled incidents with their 22 narrative flags, written once; every later
+    # step reads this table instead of re-running the regexes
+    sinks.write_cleaned(N.attach_narrative_flags(C.load_known(table)), os.path.join(out, "flagged"))
     sinks.write_result(P.data_dictionary(table, "incident_key"), _results(out, "data_dictionary"))
     return table
 
 
 def _known(spark: SparkSession, out: str) -> DataFrame:
-    return sinks.read_cleaned(spark, os.path.join(out, "cleaned"), known_only=True)
+    """Labelled incidents with their narrative flags (written by the clean step)."""
+    return sinks.read_cleaned(spark, os.path.join(out, "flagged"), known_only=True)
 
 
 def step_baselines(spark: SparkSession, out: str) -> None:
@@ -116,7 +122,7 @@ def step_stratified(spark: SparkSession, out: str, grid: str = "full",
 def step_narrative(spark: SparkSession, out: str) -> None:
     """Flag prevalence and tabular-vs-narrative comparisons (reference step 4)."""
     known = _known(spark, out)
-    flagged = N.attach_narrative_flags(known)
+    flagged = N.ensure_narrative_flags(known)
     sinks.write_result(P.flag_prevalence(flagged, N.NAV_FEATURES, N.NAV_DESCRIPTIONS),
                        _results(out, "narrative_feature_descriptions"))
     runs = MO.ablation(known)
