@@ -70,7 +70,9 @@ def write_stage(df: DataFrame, name: str, partition_by=(), mode: str = "overwrit
     column pruning, predicate pushdown and (with ``partition_by``) directory pruning."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/stages/{name}-{uuid.uuid4().hex[:8]}"
+    # one folder per application, so a finished application's stages expire as a unit
+    app = spark.sparkContext.applicationId
+    path = f"{base}/stages/{app}/{name}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
