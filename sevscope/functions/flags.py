@@ -83,10 +83,36 @@ def odds_ratio(coef) -> Column:
     return F.exp(F.col(coef) if isinstance(coef, str) else coef)
 
 
+# Veltkamp splitter for doubles (2^27 + 1), used by the error-free product below
+_SPLIT = 134217729.0
+
+
+def round1(x) -> Column:
+    """Python's ``round(x, 1)`` for doubles: half-even on the exact binary value (C14).
+
+    ``bround`` rounds the double's shortest decimal text, which differs from Python
+    at ties that are not exactly representable (0.05, 0.15, 0.35, ...: the double
+    is just below or above the tie). Here the side of the tie is decided exactly:
+    ``x * 10 = p + err`` with Dekker's error-free product, and ``p - (f + 0.5)`` for
+    ``f = floor(p)`` is exact (Sterbenz), so ``d`` has the sign of ``x*10 - (f + 0.5)``.
+    Plain double arithmetic, so the DuckDB oracle states the same steps.
+    """
+    a = (F.col(x) if isinstance(x, str) else x).cast("double")
+    p = a * 10.0
+    c = a * _SPLIT
+    ah = c - (c - a)
+    al = a - ah
+    err = (ah * 10.0 - p) + al * 10.0
+    f = F.floor(p).cast("double")
+    d = (p - (f + 0.5)) + err
+    up = (d > 0) | ((d == 0) & (F.pmod(f, F.lit(2.0)) == 1.0))
+    return F.when(up, f + 1.0).otherwise(f) / 10.0
+
+
 def pct1(x) -> Column:
-    """x*100 rounded half-even to one decimal (C14)."""
+    """x*100 rounded to one decimal as Python's ``round(x * 100, 1)`` (C14)."""
     c = F.col(x) if isinstance(x, str) else x
-    return F.bround(c * 100.0, 1)
+    return round1(c * 100.0)
 
 
 def value_with_pct(value, share) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.flags import round1
+
 
 def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     """Row counts by keys (F1)."""
@@ -169,9 +171,9 @@ def flag_prevalence(df: DataFrame, flags: list[str], descriptions: dict[str, str
         aggs.append(F.struct(
             F.lit(c).alias("feature"),
             F.lit(descriptions.get(c, "")).alias("description"),
-            F.bround(F.avg(c) * 100.0, 1).alias("overall_pct"),
-            F.bround(F.avg(F.when(F.col(label) == 1, F.col(c))) * 100.0, 1).alias("severe_pct"),
-            F.bround(F.avg(F.when(F.col(label) == 0, F.col(c))) * 100.0, 1).alias("nonsevere_pct"),
+            round1(F.avg(c) * 100.0).alias("overall_pct"),
+            round1(F.avg(F.when(F.col(label) == 1, F.col(c))) * 100.0).alias("severe_pct"),
+            round1(F.avg(F.when(F.col(label) == 0, F.col(c))) * 100.0).alias("nonsevere_pct"),
         ).alias(f"__{c}"))
     row = df.agg(*aggs)
     return (row.select(F.inline(F.array(*[F.col(f"__{c}") for c in flags])))

@@ -17,6 +17,22 @@ def strip(x: str) -> str:
     return f"trim({x}, {WS})"
 
 
+def round1(e: str) -> str:
+    """SQL text of Python's ``round(e, 1)`` on doubles: the same error-free steps as
+    ``functions.flags.round1`` (plain double arithmetic, so both engines agree)."""
+    d10, sp, half = "cast(10 as double)", "cast(134217729 as double)", "cast(0.5 as double)"
+    a = f"cast(({e}) as double)"
+    p = f"({a} * {d10})"
+    c = f"({a} * {sp})"
+    ah = f"({c} - ({c} - {a}))"
+    al = f"({a} - {ah})"
+    err = f"(({ah} * {d10} - {p}) + {al} * {d10})"
+    fl = f"cast(floor({p}) as double)"
+    dd = f"(({p} - ({fl} + {half})) + {err})"
+    up = f"({dd} > 0 or ({dd} = 0 and abs({fl}) % 2 = 1))"
+    return f"((case when {up} then {fl} + 1 else {fl} end) / {d10})"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

@@ -13,7 +13,7 @@ from ..operators import clusters as K
 from ..operators.features import fit_features
 from . import cleaning as C
 from .catalog import register
-from .oracle import chain, q
+from .oracle import chain, q, round1
 from .q_narrative import _sql_flag_cte
 
 PROFILE = S.PROFILE_COLS
@@ -41,9 +41,10 @@ def _profile_sql() -> str:
         f"case when v_{c} is null then 'N/A' else v_{c} || ' (' || "
         f"printf('%.0f', round_even(k_{c} / n * 100.0, 0)) || '%)' end as top_{c}" for c in PROFILE)
     return f"""{_chain_clustered()}, prof as (
-select cluster, n, round_even(n / (select count(*) from cl) * 100.0, 1) as pct_of_total,
-  round_even(sr * 100.0, 1) as severe_rate, {cols}
-from (select cluster, count(*) as n, avg(severe) as sr from cl group by cluster) b
+select cluster, n, {round1("n / total * 100.0")} as pct_of_total,
+  {round1("sr * 100.0")} as severe_rate, {cols}
+from (select cluster, count(*) as n, avg(severe) as sr, (select count(*) from cl) as total
+      from cl group by cluster) b
 {chr(10).join(tops)})
 """
 

@@ -8,7 +8,7 @@ from ..operators import profile as P
 from ..sources import fixtures
 from . import cleaning as C
 from .catalog import register
-from .oracle import WS, chain, q
+from .oracle import WS, chain, q, round1
 
 
 def _sql_clean(x: str) -> str:
@@ -79,12 +79,15 @@ def _prevalence_sql() -> str:
     for n in N.NAV_FEATURES:
         rows.append(
             f"select {q(n)} as feature, {q(N.NAV_DESCRIPTIONS[n])} as description, "
-            f"round_even(avg({n}) * 100.0, 1) as overall_pct, "
-            f"round_even(avg(case when severe = 1 then {n} end) * 100.0, 1) as severe_pct, "
-            f"round_even(avg(case when severe = 0 then {n} end) * 100.0, 1) as nonsevere_pct "
+            f"avg({n}) * 100.0 as o, "
+            f"avg(case when severe = 1 then {n} end) * 100.0 as s, "
+            f"avg(case when severe = 0 then {n} end) * 100.0 as ns "
             f"from fl")
     return (chain() + _sql_flag_cte("known", "incident_key, severe", "narrative")
-            + ", fl as (select * from flags_src)\n" + "\nunion all\n".join(rows))
+            + ", fl as (select * from flags_src)\n"
+            + f"select feature, description, {round1('o')} as overall_pct, "
+            + f"{round1('s')} as severe_pct, {round1('ns')} as nonsevere_pct from (\n"
+            + "\nunion all\n".join(rows) + ")")
 
 
 @register("flag_prevalence", _prevalence_sql())

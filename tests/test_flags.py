@@ -51,3 +51,17 @@ def test_formatting_half_even(spark):
     df = spark.createDataFrame([("Street", 0.625), ("Street", 0.125)], "v string, s double")
     got = [r[0] for r in df.select(FL.value_with_pct("v", "s")).collect()]
     assert got == ["Street (62%)", "Street (12%)"]
+
+
+def test_round1_matches_python_round_at_ties(spark):
+    """One-decimal rounding equals Python's round(x, 1), including ties that are not
+    exactly representable (n / 2000 * 100 = 0.05, 0.15, ...), where bround differs."""
+    from pyspark.sql import functions as F
+
+    from sevscope.functions.flags import round1
+    xs = [n / 2000 * 100 for n in range(0, 2001)] + [0.25, 0.35, 2.675, -0.35, -0.25, 99.95]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.r for r in df.select(round1("x").alias("r")).collect()]
+    assert got == [round(x, 1) for x in xs]
+    # bround alone would not do: it rounds the shortest decimal text
+    assert df.where(F.bround("x", 1) != round1("x")).count() > 0
