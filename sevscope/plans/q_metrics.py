@@ -176,14 +176,13 @@ _TOP_COLS = ["roadway_type", "crash_with", "sv_movement", "cp_movement", "automa
   from fn where {c} is not null group by {c}) where r <= 5""" for c in _TOP_COLS))
 def top_categories(spark, sf_dir):
     t = scored(spark, sf_dir).where(F.col("era") == "current")
-    fn = M.false_negatives(t, "severe", "pred").cache()
-    total = fn.count()
-    out = None
-    for c in _TOP_COLS:
-        part = P.top_categories(fn, c, 5, total=total).select(F.lit(c).alias("column_name"), "rank", "value",
-                                                 "n", "share")
-        out = part if out is None else out.unionByName(part)
-    return out
+    fn = M.false_negatives(t, "severe", "pred")
+    # one pass over the misses: unpivot the (string) columns, then top-5 per column;
+    # NULL values stay in the per-column totals (share is over all misses)
+    long = fn.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in _TOP_COLS])))
+    return P.top_categories(long, "value", 5, by=["column_name"]).select(
+        "column_name", "rank", "value", "n", "share")
 
 
 # --- G1 / G2 / F15 -----------------------------------------------------------------
