@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_BA
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts and verdict."""
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
