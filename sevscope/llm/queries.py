@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash
+from . import decontam, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_benchmark_decontamination", r"""
+WITH up AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+d AS (SELECT r, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM up),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS win FROM (
+    SELECT item_id, ws, least(len(ws), 10) AS size, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM bw),
+p AS (SELECT r, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM d),
+dw AS (SELECT r, i, size, string_agg(x, ' ') OVER (PARTITION BY r, size ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS ten,
+              count(*) OVER (PARTITION BY r, size ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS n FROM p, sizes WHERE size = 10),
+sw AS (SELECT r, i, size, array_to_string(ws[i:i + size - 1], ' ') AS ten FROM (
+    SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes WHERE size < 10)),
+m AS (SELECT r, i, size, item_id FROM (SELECT r, i, size, ten FROM dw WHERE n = 10 UNION ALL SELECT r, i, size, ten FROM sw) o
+      JOIN bw USING (size) WHERE bw.win = o.ten),
+h AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + size)) AS j FROM m) GROUP BY r),
+i AS (SELECT r, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+      FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that occur in windows of benchmark items."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
