@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, quality, simhash
+from . import decontam, mixing, quality, sharding, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,32 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words that occur in windows of benchmark items."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_source_mixing", rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  ('0x' || substr(md5(coalesce('{mixing.SEED}:id:' || doc_id::VARCHAR, '{mixing.SEED}:text:' || coalesce(text, ''))), 1, 3))::INT AS slice
+           FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, 3 * source_size AS most FROM s0),
+s2 AS (SELECT *, (sum(source_size) OVER () - sum(most) OVER o + most)::DOUBLE / (sum(weight) OVER () - sum(weight) OVER o + weight)::DOUBLE AS level
+       FROM s1 WINDOW o AS (ORDER BY most / weight, source NULLS LAST)),
+s3 AS (SELECT *, level > most / weight AS capped FROM s2),
+s4 AS (SELECT source, source_size, CASE WHEN capped THEN most::DOUBLE ELSE weight * max(CASE WHEN NOT capped THEN level END) OVER () END AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM s4),
+e AS (SELECT source, slice + 1 AS edge, sum(sum(size)) OVER (PARTITION BY source ORDER BY slice) AS drawn FROM d GROUP BY source, slice
+      UNION ALL SELECT source, 0, 0 FROM s0),
+b AS (SELECT s5.source, arg_min(edge, (abs(drawn::DOUBLE - (target - whole * source_size)), edge)) AS below
+      FROM s5 JOIN e ON s5.source IS NOT DISTINCT FROM e.source GROUP BY s5.source)
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN slice < below THEN 1 ELSE 0 END))::BIGINT AS taken,
+       d.source AS source, (whole + CASE WHEN slice < below THEN 1 ELSE 0 END)::INT AS copies
+FROM d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source JOIN b ON d.source IS NOT DISTINCT FROM b.source""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words in the mix."""
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_histogram_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot."""
+    return sharding.report(table(spark, sf_dir, "documents"))
