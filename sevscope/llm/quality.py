@@ -111,6 +111,12 @@ def judge(docs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def keep(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The documents that pass, with their own columns: the same projection, then a filter."""
-    m = measure(docs.select(F.struct(*docs.columns).alias("__doc"), docs["text"].alias("text")))
+    """The documents that pass, with their own columns: the same projection, then a filter.
+
+    The one-element ``explode`` keeps the filter above the counts; pushed below them it would
+    repeat the expressions of the words once for each use.
+    """
+    m = measure(docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("__doc"), docs["text"].alias("text")))
+    counts = F.struct(*(c for c in m.columns if c not in ("__doc", "text")))
+    m = m.select("__doc", F.explode(F.array(counts)).alias("m")).select("__doc", "m.*")
     return m.where(~base_failed() & passes(rules)).select("__doc.*")
