@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lengths, mixing, quality, secrets, sharding, simhash
+from . import chat, decontam, lengths, mixing, quality, secrets, sharding, simhash, toxicity
 from .bpe import Bpe
 from .common import table
 
@@ -145,3 +145,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
     return chat.digest(rows.unionByName(more))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(*toxicity.sample(docs, table(spark, sf_dir, "labels"))))
