@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lengths, mixing, quality, secrets, sharding, simhash, toxicity
+from . import chat, decontam, lengths, mixing, quality, secrets, sharding, simhash, toxicity, urls
 from .bpe import Bpe
 from .common import table
 
@@ -152,3 +152,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score; learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(*toxicity.sample(docs, table(spark, sf_dir, "labels"))))
+
+
+@query("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict."""
+    return urls.judge(table(spark, sf_dir, "pages"))
