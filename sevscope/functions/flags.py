@@ -13,7 +13,7 @@ from .. import schema as S
 
 def _norm(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.trim(col.cast("string")))
+    return F.lower(F.btrim(col.cast("string"), F.lit(S.WHITESPACE)))
 
 
 def yes_flag(c) -> Column:
@@ -52,7 +52,7 @@ def incident_key(same_incident_col="same_incident_id", report_col="report_id") -
     sid = F.col(same_incident_col)
     rid = F.col(report_col)
     fallback = F.concat(F.lit(S.SINGLE_PREFIX), F.coalesce(rid.cast("string"), F.lit("nan")))
-    return F.when(sid.isNotNull() & (F.trim(sid) != F.lit("")), sid).otherwise(fallback)
+    return F.when(sid.isNotNull() & (F.btrim(sid, F.lit(S.WHITESPACE)) != F.lit("")), sid).otherwise(fallback)
 
 
 def severe(*flags: str) -> Column:
@@ -67,22 +67,12 @@ def severity_known(*flags: str) -> Column:
     return F.coalesce(*[F.col(c) for c in cols]).isNotNull().cast("int")
 
 
-def stratum_key(*cols: str) -> Column:
-    """e.g. severe + '_' + level (C11)."""
-    return F.concat_ws("_", *[F.col(c).cast("string") for c in cols])
-
-
 def threshold_decision(prob, t: float) -> Column:
     """prob >= t as 0/1."""
     p = F.col(prob) if isinstance(prob, str) else prob
     return (p >= F.lit(float(t))).cast("int")
 
 
-def odds_ratio(coef) -> Column:
-    """exp(coefficient)."""
-    return F.exp(F.col(coef) if isinstance(coef, str) else coef)
-
-
 # Veltkamp splitter for doubles (2^27 + 1), used by the error-free product below
 _SPLIT = 134217729.0
 
@@ -109,12 +99,6 @@ def round1(x) -> Column:
     return F.when(up, f + 1.0).otherwise(f) / 10.0
 
 
-def pct1(x) -> Column:
-    """x*100 rounded to one decimal as Python's ``round(x * 100, 1)`` (C14)."""
-    c = F.col(x) if isinstance(x, str) else x
-    return round1(c * 100.0)
-
-
 def value_with_pct(value, share) -> Column:
     """"value (NN%)" with NN rounded half-even, as Python's '%.0f' does (C14)."""
     v = F.col(value) if isinstance(value, str) else value

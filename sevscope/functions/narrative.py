@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema as S
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the reference's for identical flags)
 # ---------------------------------------------------------------------------
@@ -165,7 +167,7 @@ HAS_NARRATIVE = "nav_has_narrative"
 ALL_FLAGS = NAV_FEATURES + [HAS_NARRATIVE]
 
 # ASCII whitespace set trimmed from both ends of the cleaned text
-WHITESPACE = " \t\n\x0b\x0c\r"
+WHITESPACE = S.WHITESPACE
 
 
 def java_pattern(pattern: str, dotall: bool) -> str:

@@ -27,7 +27,7 @@ from .operators import profile as P
 from .plans import cleaning as C
 from .plans import clustering as CL
 from .plans import models as MO
-from .session import get_spark
+from .session import drop_stages, get_spark
 from .sources import extracts as X
 from .sources import fixtures, sinks
 
@@ -161,13 +161,14 @@ def step_explore(spark: SparkSession, out: str) -> None:
     from .operators import features as FE
     known = _known(spark, out)
     spec = FE.fit_features(known, MO.context_features(known))
-    X_ = spec.transform(known).select("incident_key", "features")
-    best, scores = CL.select_k(X_, "incident_key", CL.EXPLORE_K_RANGE, sample=CL.EXPLORE_SAMPLE)
+    X_ = CL.cut_lineage(spec.transform(known).select("incident_key", "features"))
+    best, scores = CL.select_k(X_, "incident_key", CL.EXPLORE_K_RANGE)
     model, _ = CL.fit_kmeans(X_, best, CL.N_INIT_SEARCH)
     proj, ratio = CL.pca_projection(model.transform(X_))
     sinks.write_result(proj.select("incident_key", "cluster", "pc1", "pc2"), _results(out, "pca_projection"))
-    _write_rows(spark, scores + [{"k": -1, "silhouette": float(ratio[0]), "cost": float(ratio[1])}],
-                _results(out, "explore_silhouette_by_k"))
+    _write_rows(spark, scores, _results(out, "explore_silhouette_by_k"))
+    _write_rows(spark, [{"component": i + 1, "explained_ratio": float(x)} for i, x in enumerate(ratio)],
+                _results(out, "explore_pca_ratio"))
     strata = (known.groupBy("era", "automation_level")
                    .agg(F.count(F.lit(1)).alias("n"), F.avg("severe").alias("severe_rate")))
     sinks.write_result(strata, _results(out, "severe_rate_by_stratum"))
@@ -186,6 +187,13 @@ def main(argv=None) -> None:
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
+    try:
+        run_step(spark, a)
+    finally:
+        drop_stages(spark)  # results are in --out; nothing reads this run's stage tables again
+
+
+def run_step(spark: SparkSession, a) -> None:
     if a.step == "clean":
         step_clean(spark, a.out, a.sf_dir, a.raw_csv_dir)
     elif a.step == "baselines":

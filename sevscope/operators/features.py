@@ -145,11 +145,14 @@ def fit_features(train: DataFrame, features: list[str], scale_numeric: bool = Tr
 
 
 def standardise_vector(df: DataFrame, col: str = "features", out: str = "features_std") -> DataFrame:
-    """Standardise every slot of a vector column (H3): mean 0, unit variance.
+    """Scale every slot of a vector column to unit variance (H3).
+
+    Without centring, which k-means and Euclidean distances do not notice, so one-hot
+    vectors stay sparse.
 
     Spark ML's scaler divides by the sample std; for k-means and silhouette this is
     a uniform rescaling of all axes and leaves assignments unchanged.
     """
     from pyspark.ml.feature import StandardScaler
-    sc = StandardScaler(inputCol=col, outputCol=out, withMean=True, withStd=True)
+    sc = StandardScaler(inputCol=col, outputCol=out, withMean=False, withStd=True)
     return sc.fit(df).transform(df)

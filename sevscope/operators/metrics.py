@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .groups import join_groups
 from .prefix import prefix_sums
 
 # FIXED VALUES: threshold grid 0.20..0.80 step 0.02 and the precision floor
@@ -52,11 +53,6 @@ def with_rates(counts: DataFrame, digits: int | None = 6) -> DataFrame:
                                "fn_rate": r(fnr)})
 
 
-def n_classes(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
-    """Distinct label values per group."""
-    return df.groupBy(*(by or [])).agg(F.count_distinct(label).alias("n_classes"))
-
-
 def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None,
             digits: int | None = 6) -> DataFrame:
     """Rank (Mann-Whitney) ROC AUC with average ranks for ties.
@@ -141,7 +137,7 @@ def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
     out = with_rates(confusion_counts(df, label, pred, by, presence), digits)
     if score is not None:
         auc = roc_auc(df, label, score, by, digits)
-        out = out.join(auc, by) if by else _attach_single(out, auc)
+        out = join_groups(out, auc, by) if by else _attach_single(out, auc)
     return out
 
 
@@ -166,6 +162,6 @@ def miss_summary(df: DataFrame, label: str, pred: str, by: list[str],
     fn = false_negatives(df, label, pred)
     from .clusters import group_modes
     tops = group_modes(fn, by, list(top_cols))
-    base = base.join(tops.select(*by, *[F.col(f"{c}__value").alias(o) for c, o in top_cols.items()]),
-                     by, "left")
+    base = join_groups(base, tops.select(*by, *[F.col(f"{c}__value").alias(o) for c, o in top_cols.items()]),
+                       by, "left")
     return base.fillna({v: "N/A" for v in top_cols.values()})

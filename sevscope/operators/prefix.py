@@ -23,6 +23,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .groups import join_groups
+
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 4096
 
@@ -62,7 +64,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
         bounds = src.groupBy(*gk).agg(
             F.percentile_approx(F.col(bucket_col).cast("double"), probs, accuracy).alias("__bounds"))
         # bounds: #groups x (nb-1) doubles - bounded by construction, so broadcast
-        b = src.join(F.broadcast(bounds), gk)
+        b = join_groups(src, F.broadcast(bounds), gk)
         v = F.col(bucket_col).cast("double")
         b = b.withColumn("__b", F.lit(0))
         step = nb // 2
@@ -86,7 +88,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
             .rowsBetween(Window.unboundedPreceding, -1))
     out = b.select("*", *[F.coalesce(F.sum(m).over(w_in), F.lit(0)).alias(f"__in_{m}")
                           for m in measures])
-    out = out.join(F.broadcast(offsets), bkeys)
+    out = join_groups(out, F.broadcast(offsets), bkeys)
     out = out.select(*df.columns, *[(F.col(f"__off_{m}") + F.col(f"__in_{m}")).alias(f"{m}_before")
                                     for m in measures])
     return out

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .groups import join_groups
+
 from ..functions.flags import round1
 
 
@@ -130,7 +132,7 @@ def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
         local = (salted.withColumn("__r", F.row_number().over(w_s))
                        .where(F.col("__r") <= n).drop("__s", "__r"))
         ranked = local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-        ranked = ranked.join(totals, by)
+        ranked = join_groups(ranked, totals, by)
     else:
         # global top-n: TakeOrderedAndProject keeps n rows per task, no full sort;
         # the denominator is one number, passed as a literal
@@ -150,31 +152,21 @@ def mode(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
     return top_categories(df, col, 1).drop("rank")
 
 
-def mean_flags_long(df: DataFrame, flags: list[str], by: list[str] | None = None,
-                    digits: int = 6) -> DataFrame:
-    """Long table (by..., feature, mean) of flag means."""
-    by = list(by or [])
-    wide = df.groupBy(*by).agg(*[F.avg(c).alias(c) for c in flags])
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c), digits).alias("mean"))
-                    for c in flags])
-    return wide.select(*by, F.inline(arr))
-
-
 def flag_prevalence(df: DataFrame, flags: list[str], descriptions: dict[str, str],
                     label: str = "severe") -> DataFrame:
     """Per flag: overall / label=1 / label=0 prevalence in percent, one decimal.
 
-    One aggregate (3 averages per flag), unpivoted; sorted by overall prevalence.
+    One aggregate by label holds a sum and a count per flag; the three shares come
+    from its few rows, unpivoted; sorted by overall prevalence.
     """
-    aggs = []
-    for c in flags:
-        aggs.append(F.struct(
-            F.lit(c).alias("feature"),
-            F.lit(descriptions.get(c, "")).alias("description"),
-            round1(F.avg(c) * 100.0).alias("overall_pct"),
-            round1(F.avg(F.when(F.col(label) == 1, F.col(c))) * 100.0).alias("severe_pct"),
-            round1(F.avg(F.when(F.col(label) == 0, F.col(c))) * 100.0).alias("nonsevere_pct"),
-        ).alias(f"__{c}"))
-    row = df.agg(*aggs)
+    per = df.groupBy(label).agg(*[F.sum(F.col(c).cast("double")).alias(f"__s_{c}") for c in flags],
+                                *[F.count(c).alias(f"__n_{c}") for c in flags])
+
+    def share(c, of=None):
+        s, n = (F.sum(x if of is None else F.when(F.col(label) == of, x)) for x in (F.col(f"__s_{c}"), F.col(f"__n_{c}")))
+        return round1(F.when(n > 0, s / n) * 100.0)
+    row = per.agg(*[F.struct(F.lit(c).alias("feature"), F.lit(descriptions.get(c, "")).alias("description"),
+                             share(c).alias("overall_pct"), share(c, 1).alias("severe_pct"),
+                             share(c, 0).alias("nonsevere_pct")).alias(f"__{c}") for c in flags])
     return (row.select(F.inline(F.array(*[F.col(f"__{c}") for c in flags])))
                .orderBy(F.desc("overall_pct"), F.asc("feature")))

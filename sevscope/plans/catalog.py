@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import q_cleaning, q_narrative, q_metrics, q_profile, q_models, q_clusters  # noqa: F401
+    from . import q_cleaning, q_narrative, q_metrics, q_models, q_clusters  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

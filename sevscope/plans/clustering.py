@@ -21,13 +21,11 @@ from ..operators import clusters as K
 from ..operators import features as FE
 from ..session import cut_lineage
 
-# FIXED VALUES: k ranges, restarts, sample cap, seed and minimum slice size
+# FIXED VALUES: k ranges, restarts, seed and minimum slice size
 K_RANGE = list(range(3, 9))
 EXPLORE_K_RANGE = list(range(2, 9))
 N_INIT_SEARCH = 10
 N_INIT_FINAL = 20
-SILHOUETTE_SAMPLE = 2000
-EXPLORE_SAMPLE = 2500
 SEED = 42
 MIN_ROWS = 30
 # concurrent k-means restarts (Spark jobs) per fit
@@ -73,14 +71,16 @@ def fit_kmeans(df: DataFrame, k: int, n_init: int, seed: int = SEED, features: s
 
 
 def select_k(df: DataFrame, key: str, k_range=K_RANGE, n_init: int = N_INIT_SEARCH,
-             sample: int = SILHOUETTE_SAMPLE, seed: int = SEED) -> tuple[int, list[dict]]:
-    """Silhouette per k; arg-max, first k wins ties."""
-    scores = []
+             seed: int = SEED) -> tuple[int, list[dict]]:
+    """Silhouette of all rows per k; arg-max, first k wins ties."""
+    from pyspark import StorageLevel
+    df, scores = df.persist(StorageLevel.MEMORY_AND_DISK), []
     for k in k_range:
         model, cost = fit_kmeans(df, k, n_init, seed)
-        lab = model.transform(df).select(key, "features", "cluster")
-        sil = K.mean_silhouette(K.silhouette(lab, key, "features", "cluster", sample, seed))
+        lab = model.transform(df).select("features", "cluster")
+        sil = K.mean_silhouette(K.silhouette(lab, "features", "cluster"))
         scores.append({"k": k, "silhouette": sil, "cost": cost})
+    df.unpersist()
     best = max(scores, key=lambda r: (r["silhouette"], -r["k"]))
     return best["k"], scores
 

@@ -55,7 +55,7 @@ def with_probability(pred: DataFrame, out: str = "prob") -> DataFrame:
 
 # --- estimators -----------------------------------------------------------------------
 
-def fit_lr(train: DataFrame, C: float = 1.0, features: str = "features", max_iter: int = 1000,
+def fit_lr(train: DataFrame, C: float = 1.0, features: str = "features", max_iter: int = 2000,
            tol: float = 1e-6):
     """Class-balanced L2 logistic regression.
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import narrative as N
 from ..operators import clusters as K
-from ..operators.features import fit_features
 from . import cleaning as C
 from .catalog import register
 from .oracle import chain, q, round1
@@ -110,7 +109,7 @@ def cluster_crosstab(spark, sf_dir):
 
 @register("silhouette", """
 with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
-d as (select a.vec_id, a.label as la, b.label as lb, list_distance(a.v, b.v) as dist
+d as (select a.vec_id, a.label as la, b.label as lb, list_distance(a.v, b.v) ** 2 as dist
       from e a join e b on a.vec_id <> b.vec_id),
 per as (select vec_id, la, lb, avg(dist) as md from d group by all),
 s as (select vec_id, la,
@@ -121,12 +120,10 @@ select sz.label, sz.n, round(avg(case when sz.n <= 1 or s.a is null then 0
     else (s.b - s.a) / greatest(s.a, s.b) end), 6) as silhouette
 from sz left join s on s.la = sz.label group by sz.label, sz.n""")
 def silhouette_q(spark, sf_dir):
-    """Euclidean silhouette of the fixed ``embeddings.label`` clusters (I16)."""
+    """Silhouette (squared Euclidean, all rows) of the fixed ``embeddings.label`` clusters (I16)."""
     from pyspark.ml.functions import array_to_vector
     emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     emb = emb.select("vec_id", "label", array_to_vector("embedding").alias("features"))
-    out = K.silhouette(emb, "vec_id", "features", "label", 2000)
+    out = K.silhouette(emb, "features", "label")
     return out.select("label", "n", F.round("silhouette", 6).alias("silhouette"))
 
-
-__all__ = ["clustered", "fit_features"]

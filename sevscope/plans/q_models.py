@@ -165,8 +165,7 @@ def pca_projection(spark, sf_dir):
     feats = MO.context_features(known)
     spec = FE.fit_features(known, feats)
     X = CL.cut_lineage(spec.transform(known).select("incident_key", "features"))
-    best, _ = CL.select_k(X, "incident_key", CL.EXPLORE_K_RANGE, n_init=CL.N_INIT_SEARCH,
-                          sample=CL.EXPLORE_SAMPLE)
+    best, _ = CL.select_k(X, "incident_key", CL.EXPLORE_K_RANGE, n_init=CL.N_INIT_SEARCH)
     model, _ = CL.fit_kmeans(X, best, CL.N_INIT_SEARCH)
     proj, ratio = CL.pca_projection(model.transform(X))
     return proj.select("incident_key", "cluster", "pc1", "pc2",

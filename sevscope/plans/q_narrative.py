@@ -92,9 +92,8 @@ def _prevalence_sql() -> str:
 
 @register("flag_prevalence", _prevalence_sql())
 def flag_prevalence(spark, sf_dir):
-    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
-    flagged = N.attach_narrative_flags(known.select("severe", "narrative"))
-    return P.flag_prevalence(flagged, N.NAV_FEATURES, N.NAV_DESCRIPTIONS, "severe")
+    # the flags are columns of the labelled stage table; no pattern runs again
+    return P.flag_prevalence(C.flagged_known(spark, sf_dir), N.NAV_FEATURES, N.NAV_DESCRIPTIONS, "severe")
 
 
 @register("document_flags", "with " + _sql_flag_cte("documents", "doc_id", "text")[2:] + """

@@ -137,6 +137,9 @@ ERAS = ["current", "archived"]
 # Declared types of the report schema (replaces whole-column type inference)
 # ---------------------------------------------------------------------------
 
+#: Fixed value: what stripping a text removes at its ends.
+WHITESPACE = " \t\n\x0b\x0c\r"
+
 NUMERIC_RAW = {"report_version": T.DoubleType(), "sv_speed_mph": T.DoubleType(),
                "report_month": T.IntegerType()}
 

@@ -45,12 +45,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not (getattr(sc, "master", None) or "local").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver and all executors share")
         d = os.environ.get("SEVSCOPE_CHECKPOINT_DIR", DEFAULT_LOCAL_CHECKPOINT_DIR)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables of this application."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{spark.sparkContext.applicationId}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     """Cut ``df``'s lineage with a table written to the shared checkpoint folder.
 

@@ -14,7 +14,7 @@ def test_yes_flag(spark):
             "Yes Subject Vehicle", "No Subject Vehicle", "no subject vehicle; yes subject vehicle",
             "Unknown", "", None, "\t yes \n"]
     got = _eval(spark, FL.yes_flag("x"), vals)
-    assert got == [1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 1.0, None, None, None, None]
+    assert got == [1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 1.0, None, None, None, 1.0]
 
 
 def test_injury_rank_and_flag(spark):
