@@ -235,8 +235,16 @@ def split_summary(spark, sf_dir):
     return SP.split_summary(marked)
 
 
-# --- G3 / G4 / G5 (rows / properties only) ------------------------------------------
-@register("split_random")
+# --- G3 / G4 (the sample, G5: rows / properties only) -------------------------------
+@register("split_random", chain() + """,
+hashed as (select incident_key, severe, automation_level,
+  ('0x' || substr(md5(coalesce(incident_key, '') || ':42'), 1, 15))::bigint as h from known),
+outer_rank as (select *, row_number() over (partition by severe, automation_level order by h, incident_key) as i,
+  count(*) over (partition by severe, automation_level) as n from hashed),
+inner_rank as (select *, row_number() over (partition by severe order by h, incident_key) as j,
+  count(*) over (partition by severe) as m from outer_rank where i > round(n * 0.2::double))
+select incident_key, case when j <= round(m * 0.25::double) then 'val' else 'fit' end as split from inner_rank
+union all select incident_key, 'test' from outer_rank where i <= round(n * 0.2::double)""")
 def split_random(spark, sf_dir):
     """Stratified 80/20 on severe x level, then 25% validation of train."""
     known = C.load_known(C.cleaned_incidents(spark, sf_dir))

@@ -1,4 +1,6 @@
 """NULL groups, white space and wide vocabularies against plain counts."""
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,12 @@ def test_a_cluster_needs_a_shared_folder():
                 return default
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 1.0])
+def test_split_equals_plain_ranking(spark, share):
+    df = frame(spark)
+    out = {r.key: (r.g, r.is_test) for r in splits.stratified_random(df, ["g"], "key", share).collect()}
+    for g in {x for x, _ in out.values()}:
+        keys = sorted((k for k in out if out[k][0] == g), key=lambda k: (int(hashlib.md5(f"{k}:42".encode()).hexdigest()[:15], 16), k))
+        assert [out[k][1] for k in keys] == [int(i < round(share * len(keys))) for i in range(len(keys))]
