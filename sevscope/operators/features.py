@@ -89,8 +89,11 @@ class FeatureSpec:
     names: list = field(default_factory=list)
     output: str = "features"
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c) or 0.0))
+    def transform(self, df: DataFrame, own_medians: bool = False) -> DataFrame:
+        """``df`` with its design vector; missing numbers take the fitted medians, or with
+        ``own_medians`` those of ``df`` itself (the pooled form of H2)."""
+        medians = exact_medians(df, self.numeric) if own_medians else self.medians
+        fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c) or 0.0))
                  for c in self.numeric}
         fills.update({c: F.coalesce(F.col(c).cast("string"), F.lit(S.UNKNOWN_CATEGORY))
                       for c in self.categorical})

@@ -6,12 +6,14 @@ stratified sampling (G3/G4). A window ordered over a whole group would move the
 group into one task, and a group here can be a third of the table. Instead:
 
 1. quantile bounds per group from ``percentile_approx`` (``n_buckets - 1`` values
-   per group; the bounds table has ``#groups x n_buckets`` rows - a proven bound);
+   per group, in a written table; they and the offsets below are broadcast only if
+   ``#groups x n_buckets`` is counted to be small);
 2. every row gets a bucket index by binary search over its group's bounds - a
    chain of ``log2(n_buckets)`` native comparisons, all inside codegen;
 3. bucket totals (``#groups x n_buckets`` rows) -> running offsets;
 4. a window partitioned by (group, bucket) gives the within-bucket running sum,
-   so every sort task holds one bucket (~``rows_per_bucket`` rows).
+   so every sort task holds one bucket: ~``rows_per_bucket`` rows, or a
+   ``MAX_BUCKETS``-th of the group where that is more.
 
 Buckets are a pure function of the row's value, so equal values always share a
 bucket and the result does not depend on partitioning or task retries.
@@ -23,23 +25,26 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_stage
 from .groups import join_groups
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 4096
+#: Offsets (one row per group and bucket) and bounds (one number) that may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
-def _bucket_count(df: DataFrame, keys: list[str], rows_per_bucket: int) -> int:
+def _bucket_count(df: DataFrame, keys: list[str], rows_per_bucket: int) -> tuple[int, int]:
+    """Buckets per group, and groups."""
     if keys:
-        max_n = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        max_n, groups = df.groupBy(*keys).count().agg(F.max("count"), F.count(F.lit(1))).first()
     else:
-        max_n = df.count()
-    max_n = max_n or 0
-    nb = max(1, math.ceil(max_n / rows_per_bucket))
+        max_n, groups = df.count(), 1
+    nb = max(1, math.ceil((max_n or 0) / rows_per_bucket))
     if nb == 1:
-        return 1
+        return 1, groups
     # round up to a power of two for the binary search, capped
-    return min(MAX_BUCKETS, 1 << (nb - 1).bit_length())
+    return min(MAX_BUCKETS, 1 << (nb - 1).bit_length()), groups
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
@@ -54,7 +59,8 @@ def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
     """
     keys = list(keys)
     bucket_col = bucket_col or order_cols[0]
-    nb = _bucket_count(df, keys, rows_per_bucket)
+    nb, groups = _bucket_count(df, keys, rows_per_bucket)
+    side = F.broadcast if groups * nb <= BROADCAST_ROWS else lambda x: x
     if nb == 1:
         b = df.withColumn("__b", F.lit(0))
     else:
@@ -63,8 +69,9 @@ def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
         src = df if keys else df.withColumn("__g", F.lit(0))
         bounds = src.groupBy(*gk).agg(
             F.percentile_approx(F.col(bucket_col).cast("double"), probs, accuracy).alias("__bounds"))
-        # bounds: #groups x (nb-1) doubles - bounded by construction, so broadcast
-        b = join_groups(src, F.broadcast(bounds), gk)
+        # written once: totals and windows must see the same bounds, and a sketch that is merged
+        # again (another order, a retried task) may give others
+        b = join_groups(src, side(write_stage(bounds, "bounds")), gk)
         v = F.col(bucket_col).cast("double")
         b = b.withColumn("__b", F.lit(0))
         step = nb // 2
@@ -88,7 +95,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
             .rowsBetween(Window.unboundedPreceding, -1))
     out = b.select("*", *[F.coalesce(F.sum(m).over(w_in), F.lit(0)).alias(f"__in_{m}")
                           for m in measures])
-    out = join_groups(out, F.broadcast(offsets), bkeys)
+    out = join_groups(out, side(offsets), bkeys)
     out = out.select(*df.columns, *[(F.col(f"__off_{m}") + F.col(f"__in_{m}")).alias(f"{m}_before")
                                     for m in measures])
     return out

@@ -52,23 +52,6 @@ def class_distribution(df: DataFrame, label: str, subsets: dict[str, Column | No
     return row.select(F.inline(F.array(*[F.col(f"{n}_{k}") for n in subsets for k in classes])))
 
 
-SHORT_VALUE_CHARS = 24
-
-
-def _distinct_key(v: Column) -> Column:
-    """A fixed-size stand-in for a value in distinct counts.
-
-    Values of up to ``SHORT_VALUE_CHARS`` characters are kept as they are; longer ones
-    (narratives, documents) become a 128-bit fingerprint (two seeded xxhash64) plus
-    their length, so the distinct-pairs shuffle moves ~40 bytes per value instead of
-    whole texts. The prefixes keep the two kinds apart; a fingerprint collision among
-    10^12 long values has probability ~1e-15.
-    """
-    fp = F.concat_ws(":", F.lit("h"), F.hex(F.xxhash64(F.lit(1), v)), F.hex(F.xxhash64(F.lit(2), v)),
-                     F.length(v).cast("string"))
-    return F.when(F.length(v) <= SHORT_VALUE_CHARS, F.concat(F.lit("s:"), v)).otherwise(fp)
-
-
 def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) -> DataFrame:
     """Per column: type, non-NULL count, distinct count, first non-NULL value.
 
@@ -77,9 +60,9 @@ def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) ->
     no grouping key, so no sort and one partial row per task. The exact distinct
     counts unpivot the table once into (column, value-as-text) and reduce it with
     a hash aggregate on the pairs, instead of one expanded copy of every row per
-    ``count(distinct)``; long values travel as fixed-size fingerprints
-    (``_distinct_key``). ``approximate=True`` puts HyperLogLog++ counts into the
-    global aggregate and skips the unpivot.
+    ``count(distinct)``; values of any length are compared as they are.
+    ``approximate=True`` puts HyperLogLog++ counts into the global aggregate and skips
+    the unpivot, the caller's choice where long distinct texts make the shuffle too dear.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     cols = df.columns
@@ -97,7 +80,6 @@ def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) ->
         long = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
         ]))).where(F.col("v").isNotNull())
-        long = long.select("column_name", _distinct_key(F.col("v")).alias("v"))
         uniq = (long.select("column_name", "v").distinct()
                     .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_unique")))
         info = info.join(uniq, "column_name", "left")

@@ -257,7 +257,10 @@ def split_random(spark, sf_dir):
                                                             F.lit("test").alias("split"))))
 
 
-@register("capped_sample")
+@register("capped_sample", chain() + """,
+hashed as (select incident_key, severe,
+  ('0x' || substr(md5(coalesce(incident_key, '') || ':42'), 1, 15))::bigint as h from known)
+select incident_key, severe from hashed order by h, incident_key limit 2000""")
 def capped_sample(spark, sf_dir):
     """2,000-row hash-ordered sample (the reference's silhouette sample size)."""
     known = C.load_known(C.cleaned_incidents(spark, sf_dir))

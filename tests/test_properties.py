@@ -85,23 +85,46 @@ def test_group_modes_one_pass_matches_brute_force(spark):
 
 
 def test_capped_sample_equals_plain_top_k(spark):
-    """The counted-range sample returns exactly the rows of orderBy(hash).limit(n)."""
-    from sevscope.operators.splits import capped_sample
+    """The counted-slice sample returns exactly the rows of orderBy(hash).limit(n)."""
+    from sevscope.operators.splits import capped_sample, key_hash
     df = spark.range(0, 5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
     for n in (1, 7, 300, 5000, 9000):
-        plain = [r.key for r in df.orderBy(F.xxhash64("key", F.lit(42)), "key").limit(n).collect()]
+        plain = [r.key for r in df.orderBy(key_hash("key", 42), "key").limit(n).collect()]
         assert [r.key for r in capped_sample(df, "key", n).collect()] == plain
 
 
 def test_data_dictionary_distinct_counts_with_long_values(spark):
-    """Distinct counts through fixed-size fingerprints equal plain distinct counts,
-    for values on both sides of the short/long cut and repeated long texts."""
-    from sevscope.operators.profile import SHORT_VALUE_CHARS, data_dictionary
-    long_a = "x" * (SHORT_VALUE_CHARS + 1)
+    """Distinct counts equal plain distinct counts, for short values and repeated long texts."""
+    from sevscope.operators.profile import data_dictionary
+    long_a = "x" * 25
     rows = [(f"id{i:03d}", long_a if i % 3 == 0 else ("y" * 200 + str(i % 5)),
-             "s" * SHORT_VALUE_CHARS if i % 2 else None) for i in range(120)]
+             "s" * 24 if i % 2 else None) for i in range(120)]
     df = spark.createDataFrame(rows, "id string, txt string, short string")
     got = {r.column_name: (r.n_nonnull, r.n_unique) for r in data_dictionary(df, "id").collect()}
     for i, c in enumerate(["id", "txt", "short"]):
         vals = [r[i] for r in rows if r[i] is not None]
         assert got[c] == (len(vals), len(set(vals)))
+
+
+def test_prefix_sums_with_and_without_broadcast(spark, monkeypatch):
+    """Running sums per group (NULL among them) equal plain ones with many buckets, whichever way the tables join."""
+    from sevscope.operators import prefix
+    rows = [(None if i % 3 == 0 else f"g{i % 2}", float(i * 37 % 101), i % 7) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, m long")
+    want = sorted((str(g), v, m, sum(x for h, w, x in rows if h == g and w < v)) for g, v, m in rows)
+    for most in (prefix.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(prefix, "BROADCAST_ROWS", most)
+        per = df.groupBy("g", "v").agg(F.sum("m").alias("m"))
+        sums = {(str(r.g), r.v): r.m_before for r in prefix.prefix_sums(per, ["g"], ["v"], ["m"], rows_per_bucket=10).collect()}
+        assert sorted((str(g), v, m, sums[str(g), v]) for g, v, m in rows) == want
+
+
+def test_own_medians_of_the_transformed_frame(spark):
+    """A missing number takes the fitted median, or the transformed frame's own one."""
+    from sevscope.operators.features import fit_features
+    train = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
+    other = spark.createDataFrame([(10.0,), (20.0,), (30.0,), (None,)], "x double")
+    spec = fit_features(train, ["x"], scale_numeric=False)
+    last = lambda df: sorted(float(r.features[0]) for r in df.collect())
+    assert last(spec.transform(other)) == [2.0, 10.0, 20.0, 30.0]
+    assert last(spec.transform(other, own_medians=True)) == [10.0, 20.0, 20.0, 30.0]
