@@ -4,7 +4,8 @@ Everything is ``regexp_replace`` / ``rlike`` on the JVM: no Python UDF, so the 2
 flag columns are computed inside whole-stage codegen from one shared cleaned,
 lower-cased text column.
 
-Dialect contract: patterns are evaluated on ASCII semantics (``\\b \\w \\d \\s``).
+Dialect contract: ``\\w \\d \\s`` are ASCII. ``\\b`` takes non-ASCII letters as word characters on
+JDK 17, as the reference's language does (from JDK 19 on only with ``(?U)``); the SQL maps such letters to ``_``.
 Patterns flagged DOTALL get ``(?s)``. The others rely on "``.`` excludes only a
 newline"; Java's default ``.`` also excludes ``\\r`` and other line breaks, so
 they get Java's UNIX_LINES flag ``(?d)``. RE2 (the DuckDB oracle) has no ``(?d)``

@@ -3,14 +3,15 @@
 A real deployment points ``read_extracts`` at the versioned CSV drops; each file
 carries its own encoding and provenance (automation level, era). Everything is
 read as text first, then cast with ``try_cast`` (bad text -> NULL instead of an
-ANSI error), so types never depend on which values happen to be present.
+ANSI error), so declared types never depend on which values happen to be present. Columns
+that the declaration does not name are numbers if all their values are (``infer_numeric``).
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,23 +48,44 @@ def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8",
             .csv(path))
 
 
+def named(col: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + col.replace("`", "``") + "`")
+
+
 def normalise_missing(df: DataFrame, tokens=S.NA_TOKENS) -> DataFrame:
     """Map the CSV missing-value tokens to NULL in every string column (A2).
 
     Matching is exact (no trimming), like a CSV reader's token list.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    fixes = {c: F.when(F.col(c).isin(*tokens), F.lit(None).cast("string")).otherwise(F.col(c))
+    fixes = {c: F.when(named(c).isin(*tokens), F.lit(None).cast("string")).otherwise(named(c))
              for c in df.columns if isinstance(types[c], T.StringType)}
     return df.withColumns(fixes)
 
 
 def apply_declared_types(df: DataFrame, declared: dict[str, T.DataType]) -> DataFrame:
     """Cast listed columns with ``try_cast``: unparsable text -> NULL."""
-    casts = {c: F.col(c).try_cast(t) for c, t in declared.items() if c in df.columns}
+    casts = {c: named(c).try_cast(t) for c, t in declared.items() if c in df.columns}
     return df.withColumns(casts)
 
 
+#: A decimal number as a CSV reader takes it.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def infer_numeric(df: DataFrame, cols: list[str]) -> dict[str, T.DataType]:
+    """Those of the string columns ``cols`` whose values, NULLs aside, are all numbers, as doubles (A3).
+
+    One aggregate over all rows, with one row for the driver; a column without any value stays text.
+    """
+    if not cols:
+        return {}
+    seen = df.agg(*[F.struct(F.count(named(c)).alias("n"), F.count_if(named(c).rlike(NUMBER)).alias("numbers")).alias(f"c{i}")
+                    for i, c in enumerate(cols)]).first()
+    return {c: T.DoubleType() for c, x in zip(cols, seen) if x["n"] and x["n"] == x["numbers"]}
+
+
 def tag_provenance(df: DataFrame, level: str, era: str) -> DataFrame:
     """automation_level / era literals (A4)."""
     return df.withColumns({"automation_level": F.lit(level), "era": F.lit(era)})
@@ -94,12 +116,14 @@ def to_internal_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
-def read_extracts(spark: SparkSession, extracts: list[Extract]) -> DataFrame:
+def read_extracts(spark: SparkSession, extracts: list[Extract], infer: bool = True) -> DataFrame:
     """Full scan stage: per-file read -> tokens -> rename -> union -> types.
 
     Adds ``source_ord`` (position of the extract in the list) so "latest version"
     can break equal-version ties by source order, and keeps the file's own row
     order only through deterministic tie-break columns supplied by the caller.
+    With ``infer``, columns outside the declared schema take their type from all their
+    values, in one more pass that extracts of declared columns alone do without.
     """
     frames = []
     for i, ex in enumerate(extracts):
@@ -109,5 +133,6 @@ def read_extracts(spark: SparkSession, extracts: list[Extract]) -> DataFrame:
         df = tag_provenance(df, ex.automation_level, ex.era).withColumn("source_ord", F.lit(i))
         frames.append(df)
     out = to_internal_names(union_by_name(frames))
-    declared = {k: v for k, v in S.NUMERIC_RAW.items()}
-    return apply_declared_types(out, declared)
+    known = {*S.report_schema().names, "source_ord"}
+    found = infer_numeric(out, [c for c in out.columns if c not in known]) if infer else {}
+    return apply_declared_types(out, {**found, **S.NUMERIC_RAW})

@@ -32,6 +32,20 @@ def test_read_extracts(spark, tmp_path):
     assert a.weather_fog == "Y" and a.source_ord == 1
 
 
+def test_undeclared_columns_are_numbers_if_all_values_are(spark, tmp_path):
+    path = tmp_path / "ads.csv"
+    _write(path, "Report ID,Report Version,Model.Year,Mileage,Empty,Code\n"
+                 "1,1,2020,1.5e3,,7\n2,1,NA, 12 ,,1d\n3,1,2021,-.5,,9\n", "utf-8")
+    ex = [X.Extract(str(path), "UTF-8", "ADS", "current")]
+    df = X.read_extracts(spark, ex)
+    kinds = dict(df.dtypes)
+    assert [kinds[c] for c in ("report_id", "report_version", "Model.Year", "Mileage", "Empty", "Code")] == \
+        ["string", "double", "double", "double", "string", "string"]
+    rows = sorted(df.select("report_id", "`Model.Year`", "Mileage").collect())
+    assert [tuple(r) for r in rows] == [("1", 2020.0, 1500.0), ("2", None, 12.0), ("3", 2021.0, -0.5)]
+    assert dict(X.read_extracts(spark, ex, infer=False).dtypes)["Mileage"] == "string"
+
+
 def test_harmonise_clash_merges(spark):
     df = spark.createDataFrame([(None, "old"), ("new", "old2")], "`VIN Decoded` string, `VIN - Unknown` string")
     out = X.harmonise(df, S.ARCHIVED_RENAME).collect()
