@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 Whole texts are scanned where they are read. A run of 16 or more characters of the base64 and URL
-alphabets that mixes letters and digits is a candidate; text-like strings merge into long
+alphabets with a letter in it is a candidate; text-like strings merge into long
 tokens under a public byte-pair vocabulary and random ones do not, so a candidate of fewer than
 ``RATIO`` characters a token is a finding. Known digests (hexadecimal, of a digest's length),
-UUIDs and identifiers (parts of letters alone or digits alone between ``_ - / + =``) are left out,
-and so is what overlaps a pattern's match.
+UUIDs and identifiers (all parts between ``_ - / + =`` are numbers or read as words) are left out,
+and so is what overlaps a pattern's match. Letters alone read as words by their own characters a
+token and, below 16, by regular changes of case; letters of one case need fewer than ``WORD_RATIO``
+in lower case to be random, as rare words of other languages come close to ``RATIO``.
 
 Defined results: a NULL text counts as empty and has no spans; spans are code points with the end
 exclusive; repeated rows are scanned alike, row by row; an empty table gives an empty result;
@@ -36,8 +38,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-IDENTIFIER = re.compile(r"([A-Za-z]+|[0-9]+)([_/+=-]+([A-Za-z]+|[0-9]+))*[_/+=-]*")
+PARTS = re.compile(r"[A-Za-z0-9]+")
+LEAST = 16  # characters of a candidate
 RATIO = 2.2
+WORD_RATIO = 2.0  # of letters of one case, or with a capital first
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -53,8 +57,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def known(run: str) -> bool:
-    """Digests, UUIDs and identifiers."""
-    return bool(len(run) in DIGEST_LENGTHS and HEXADECIMAL.fullmatch(run) or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
+    """Digests and UUIDs."""
+    return bool(len(run) in DIGEST_LENGTHS and HEXADECIMAL.fullmatch(run) or UUID.fullmatch(run))
+
+
+def plain(part: str, encode, ratio: float = RATIO) -> bool:
+    """Numbers, and letters that read as words."""
+    if not part.isalpha():
+        return part.isdigit()
+    if len(part) >= LEAST and (part[1:].islower() or part.isupper()):
+        return len(part) >= WORD_RATIO * len(encode(part.lower()))
+    if len(part) >= ratio * len(encode(part)):
+        return True
+    changes = sum(a.isupper() != b.isupper() for a, b in zip(part, part[1:]))
+    return len(part) < LEAST and (changes < 3 or 3 * changes <= len(part))
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], encode, ratio: float = RATIO) -> list[tuple[int, int, int]]:
@@ -67,7 +83,9 @@ def random_spans(text: str, base: list[tuple[int, int, int]], encode, ratio: flo
             at += 1
         if any(start < m.end() and end > m.start() for start, end in ends[at:at + 4]):  # of three kinds, so four see the next
             continue
-        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and not known(run) and len(run) < ratio * len(encode(run)):
+        if not any(c.isalpha() for c in run) or known(run):
+            continue
+        if not all(plain(p, encode, ratio) for p in PARTS.findall(run)) and (run.isalpha() or len(run) < ratio * len(encode(run))):
             out.append((m.start(), 3, m.end()))
     return out
 
