@@ -1,8 +1,8 @@
 """Catalogue entries for fitted models and clustering (I1-I19). Rows-only checks:
 fits are not SQL-expressible, so these have no oracle statement.
 
-Grids: the queries run the reference's LR grid in full and a reduced forest grid;
-``models.RF_GRID`` / ``models.GBT_GRID`` are the full grids for batch runs.
+Grids: the queries run the reference's grids in full (``models.LR_C_GRID``, ``models.RF_GRID``,
+``models.GBT_GRID``) on all labelled rows.
 """
 from __future__ import annotations
 
@@ -16,7 +16,6 @@ from .catalog import register
 
 METRIC_SCHEMA = ("model string, TP bigint, FP bigint, FN bigint, TN bigint, precision double, "
                  "recall double, f1 double, fn_rate double, roc_auc double")
-QUERY_RF_GRID = {"n_est": [100], "depth": [10], "leaf": [5]}
 
 
 _MEMO: dict = {}
@@ -43,7 +42,7 @@ def _pooled(spark, sf_dir):
 
 def _stratified(spark, sf_dir):
     return _memo(spark, sf_dir, "stratified", lambda: MO.stratified_models(
-        _known(spark, sf_dir), algorithms=("LR", "RF"), rf_grid=QUERY_RF_GRID))
+        _known(spark, sf_dir), lr_grid=MO.LR_C_GRID, rf_grid=MO.RF_GRID, gbt_grid=MO.GBT_GRID))
 
 
 def _ablation(spark, sf_dir):
@@ -79,7 +78,7 @@ def lr_false_negatives(spark, sf_dir):
 
 @register("stratified_models")
 def stratified_models(spark, sf_dir):
-    """Per level: LR C-grid and a reduced forest grid, threshold from validation."""
+    """Per level: LR, forest and boosted grids in full, threshold from validation."""
     res, _ = _stratified(spark, sf_dir)
     return _metric_rows(spark, res, ", threshold double, automation_level string, algorithm string, "
                                     "feature_set string, split_type string")
@@ -94,9 +93,9 @@ def best_per_level(spark, sf_dir):
 
 @register("importances")
 def importances(spark, sf_dir):
-    """Forest feature importances, ADS narrative + tabular features (I8)."""
+    """Forest and boosted feature importances of both levels (I8)."""
     _, tables = _stratified(spark, sf_dir)
-    rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() if k.startswith("rf_")
+    rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() if k.startswith(("rf_", "xgb_"))
             for r in t]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 

@@ -1,7 +1,10 @@
 """Model checks: the LR objective mapping against an independent solver, and the
 feature builder's encoding rules (H1)."""
+import threading
+
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,3 +59,40 @@ def test_constant_numeric_is_zero_on_train(spark):
     train = spark.createDataFrame([(4.0,), (4.0,)], "x double")
     out, stats = FE.standardise(train, ["x"])
     assert [r.x for r in out.collect()] == [0.0, 0.0]
+
+
+def test_registered_queries_search_whole_grids(spark, monkeypatch):
+    """Every point of the forest and boosted grids is tried at both levels; cheap fits stand in."""
+    from tests.conftest import SF_SMALL
+    from sevscope.plans import q_models as Q
+    tried, lock, models, sweeps = [], threading.Lock(), {}, {}
+    sweep = MO._sweep_best
+
+    def stand_in(family, estimator):
+        def fit(train, *point, **named):
+            with lock:
+                tried.append((family, id(train), *point, *named.values()))
+                if (family, id(train)) not in models:
+                    models[family, id(train)] = train, estimator.fit(train)
+                return models[family, id(train)][1]
+        return fit
+
+    def swept(model, val_m):
+        with lock:
+            if id(model) not in sweeps:
+                sweeps[id(model)] = sweep(model, val_m)
+            return sweeps[id(model)]
+
+    monkeypatch.setattr(Q, "_MEMO", {})
+    monkeypatch.setattr(MO, "_sweep_best", swept)
+    monkeypatch.setattr(MO, "fit_rf", stand_in("RF", RandomForestClassifier(labelCol=MO.LABEL, numTrees=2, maxDepth=2, seed=1)))
+    monkeypatch.setattr(MO, "fit_gbt", stand_in("XGB", GBTClassifier(labelCol=MO.LABEL, maxIter=2, maxDepth=2, seed=1)))
+    rows = Q.stratified_models(spark, SF_SMALL).collect()
+    assert {(r.automation_level, r.algorithm) for r in rows} == {(lv, a) for lv in ("ADS", "L2") for a in ("LR", "RF", "XGB")}
+    assert len(rows) == 6
+    # 27 points and the refit, at two levels
+    for family in ("RF", "XGB"):
+        own = [t for t in tried if t[0] == family]
+        assert len(own) == 2 * 28 and len({t[1:] for t in own}) >= 2 * 27
+    assert {r.model for r in Q.importances(spark, SF_SMALL).collect()} == {"rf_ads", "rf_l2", "xgb_ads", "xgb_l2"}
+    assert [r.algorithm for r in Q.best_per_level(spark, SF_SMALL).orderBy("automation_level").collect()] == ["RF", "LR"]
