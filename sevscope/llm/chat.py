@@ -84,17 +84,36 @@ def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object,
         yield conv, (m for _, m in own)
 
 
+def _turns(pieces: Iterable[tuple[str, bool]]) -> Iterator[tuple[str, str]]:
+    """(text, text under the loss mask) of every turn of a rendering, cut behind the turns' ends; what
+    follows the last end belongs to the last turn."""
+    done, held, mask, tail = None, [], [], ""
+    for text, marked in pieces:
+        held.append(text)
+        if marked:
+            mask.append(text)
+        tail = (tail + text)[-len(END + "\n"):]
+        if tail == END + "\n":
+            if done:
+                yield done
+            done, held, mask, tail = ("".join(held), "".join(mask)), [], [], ""
+    if done:
+        yield done[0] + "".join(held), done[1] + "".join(mask)
+    elif held:
+        yield "".join(held), "".join(mask)
+
+
 def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """(conv_id, nth, text, loss_text): the rendering of every turn, in order."""
+    """(conv_id, nth, text, loss_text): the rendering of every turn, in order; together they are the rendering
+    of the whole conversation. Turns end where a piece of the template ends with ``END`` and a newline, so a
+    template without gives one row a conversation."""
     kind = rows.schema["conv_id"].dataType.simpleString()
 
     def write(batches):
         draw = compile_template(template, FILTERS)
         for conv, messages in _conversations(batches):
-            for n, m in enumerate(messages):
-                pieces = list(draw([m]))
-                yield pa.RecordBatch.from_pylist([{"conv_id": conv, "nth": n, "text": "".join(t for t, _ in pieces),
-                                                   "loss_text": "".join(t for t, x in pieces if x)}], schema=schema)
+            for n, (text, loss) in enumerate(_turns(draw(messages))):
+                yield pa.RecordBatch.from_pylist([{"conv_id": conv, "nth": n, "text": text, "loss_text": loss}], schema=schema)
     schema = pa.schema([("conv_id", pa.int32() if kind == "int" else pa.int64() if kind == "bigint" else pa.string()),
                         ("nth", pa.int64()), ("text", pa.string()), ("loss_text", pa.string())])
     return _by_conversation(rows).mapInArrow(write, f"conv_id {kind}, nth long, text string, loss_text string")

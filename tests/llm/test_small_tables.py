@@ -202,6 +202,21 @@ def test_chat(spark):
     assert chat.digest(df.where("false")).count() == 0
 
 
+def test_chat_of_the_whole_conversation(spark):
+    template = ("begin {% for m in messages %}{% if loop.first %}<s>{% endif %}{{ loop.index }}{% if m.role == 'assistant' %}{% generation %}{{ m.text | safe }}{% endgeneration %}"
+                "{% else %}{{ m.text | safe }}{% endif %}{% if loop.last %}</s>{% endif %}{{ '<|im_end|>' }}{{ '\\n' }}{% endfor %}end")
+    turns = [(c, n, r, f"{r} {c} {n} <|im_end|>") for c in (1, 2) for n, r in enumerate(["system", "user", "assistant", "assistant"][:2 + c])]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = chat.format_conversations(df, template).orderBy("conv_id", "nth").collect()
+    assert len(rows) == len(turns)
+    for conv in (1, 2):
+        own = [{"role": r, "text": t} for c, _, r, t in turns if c == conv]
+        got = [r for r in rows if r.conv_id == conv]
+        assert "".join(r.text for r in got) == chat.render(own, template)
+        assert [r.nth for r in got] == list(range(len(own))) and got[0].text.startswith("begin <s>1") and got[-1].text.endswith("\nend")
+        assert [r.loss_text for r in got] == [chat.safe(m["text"]) if m["role"] == "assistant" else "" for m in own]
+
+
 def test_urls(spark):
     def judge(u):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
