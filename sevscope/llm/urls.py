@@ -34,7 +34,9 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 #: Words that make a page an example of the blocked class.
 SEEDS = ("adult", "bet", "betting", "casino", "cheap", "gambling", "loan", "loans", "pharmacy", "pills", "poker", "porn", "replica", "sex", "viagra", "xxx")
 BUCKETS = 1 << 16
-LONGEST = 20  # characters of a word inside a host name
+LONGEST = 20  # characters of a word inside a host name at least, longer ones as far as counted words go
+LABEL = 63  # characters a host label has at most, by the rules of host names
+LETTERS = "\\p{L}[\\p{L}\\p{M}]*"  # of any script
 NUMBER = "0"
 SMOOTH = 1.0
 
@@ -55,12 +57,19 @@ def rule(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     return pick_(1), pick_(0)
 
 
-def split_label(label: str, counts: dict[str, int], total: int) -> list[str]:
+def tokens(named: Column) -> Column:
+    """Runs of letters in lower case, and ``NUMBER`` for runs of digits; percent escapes are decoded."""
+    decoded = F.try_url_decode(F.regexp_replace(F.regexp_replace(named, "%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B"))
+    return F.transform(F.regexp_extract_all(F.lower(F.coalesce(decoded, named)), F.lit(LETTERS + "|\\p{N}+"), F.lit(0)),
+                       lambda x: F.when(x.rlike("^\\p{N}"), NUMBER).otherwise(x))
+
+
+def split_label(label: str, counts: dict[str, int], total: int, longest: int = LONGEST) -> list[str]:
     """The most likely words of a host label; parts without a known word stay whole letters' runs."""
     best: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(label) + 1):
         options = []
-        for start in range(max(0, end - LONGEST), end):
+        for start in range(max(0, end - longest), end):
             w = label[start:end]
             # unknown words get likelier the shorter they are, and less likely than any known word
             cost = math.log(total / counts[w]) if w in counts else math.log(total * 10.0) + 2.5 * len(w)
@@ -77,27 +86,28 @@ def split_label(label: str, counts: dict[str, int], total: int) -> list[str]:
 def unigrams(pages: DataFrame) -> DataFrame:
     """(word, n): words of all pages' texts, tags left out."""
     text = F.regexp_replace(F.coalesce(pages["html"], F.lit("")), "<[^>]*>", " ")
-    return (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,}"), F.lit(0))).alias("word"))
-            .where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n")))
+    return (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0))).alias("word"))
+            .where(F.length("word").between(2, LABEL)).groupBy("word").agg(F.count("*").alias("n")))
 
 
 def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """(host, host_words) of distinct hosts."""
-    labels = hosts.select(F.explode(F.array_distinct(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0)))).alias("label")).distinct()
+    labels = hosts.select(F.explode(F.array_distinct(tokens(F.col("host")))).alias("label")).distinct()
+    total, longest = counts.agg(F.sum("n"), F.max(F.length("word"))).first()
+    total, longest = total or 1, max(LONGEST, longest or 0)
     size = F.length("label")
     pieces = labels.select("label", F.explode(F.sequence(F.lit(1), size)).alias("at")).select(
-        "label", "at", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(F.lit(LONGEST), F.length("label") - F.col("at") + 1)))).alias("len"))
+        "label", "at", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(F.lit(longest), F.length("label") - F.col("at") + 1)))).alias("len"))
     pieces = pieces.select("label", F.substring(F.col("label"), F.col("at"), F.col("len")).alias("word")).where(F.length("word") >= 2).distinct()
-    total = counts.agg(F.sum("n")).first()[0] or 1
     own = pieces.join(counts, "word").groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
 
     @F.pandas_udf("array<string>")
     def split(label: pd.Series, known: pd.Series) -> pd.Series:
-        return pd.Series([split_label(x, dict(k) if k is not None else {}, total) for x, k in zip(label, known)])
+        return pd.Series([split_label(x, dict(k) if k is not None else {}, total, longest) for x, k in zip(label, known)])
 
     words = labels.join(own, "label", "left").select("label", split("label", "known").alias("words"))
     # the labels of a host in their order, joined back by the distinct hosts
-    placed = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("nth", "label"))
+    placed = hosts.select("host", F.posexplode(tokens(F.col("host"))).alias("nth", "label"))
     return (placed.join(words, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("nth", "words"))).alias("w"))
             .select("host", F.flatten(F.transform("w", lambda x: x["words"])).alias("host_words")))
 
@@ -106,10 +116,9 @@ def judge(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, words, score (log odds of the blocked class)."""
     urls = pick(pages, "page_id", "url").select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     hosts = write_stage(segmented(urls.select("host").distinct(), write_stage(unigrams(pick(pages, "html")), "unigrams")), "host-words")
-    numbers = F.transform(F.regexp_extract_all(F.lower("path"), F.lit("[a-z]+|[0-9]+"), F.lit(0)), lambda x: F.when(x.rlike("^[0-9]"), NUMBER).otherwise(x))
     named = hosts.withColumnRenamed("host", "of")
     rows = write_stage(urls.join(named, F.col("host") == F.col("of"), "left").select(
-        "page_id", "host", "path", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), numbers).alias("words")), "url-words")
+        "page_id", "host", "path", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), tokens(F.col("path"))).alias("words")), "url-words")
 
     bucket = lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))
     blocked = F.arrays_overlap("words", F.array(*(F.lit(s) for s in seeds)))

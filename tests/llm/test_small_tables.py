@@ -217,6 +217,18 @@ def test_chat_of_the_whole_conversation(spark):
         assert [r.loss_text for r in got] == [chat.safe(m["text"]) if m["role"] == "assistant" else "" for m in own]
 
 
+def test_url_words_of_any_script(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    us = ["http://казино.org/игра", "http://b.org/caf%C3%A9/100%/%zz/a+b/12", f"http://{long}online.org/", "http://bet365.org/", "http://x.org/%D0%BA%D0%B0%D0%B7%D0%B8%D0%BD%D0%BE",
+          "http://новости.org/", "http://казинохорошо.org/", "http://127.0.0.1/"]
+    d = spark.createDataFrame([(i, u, f"<p>казино хорошо online {long} bet</p>") for i, u in enumerate(us)], "page_id long, url string, html string")
+    by = {r.page_id: r for r in urls.judge(d, seeds=("казино",)).collect()}
+    assert len(by) == len(us)
+    assert [by[i].words for i in range(5)] == ["казино org игра", "b org café 0 zz a b 0", f"{long} online org", "bet 0 org", "x org казино"]
+    assert by[6].words == "казино хорошо org" and by[7].words == "0 0 0 0"
+    assert [by[i].verdict for i in (0, 4, 5, 6)] == ["block", "block", "allow", "block"]
+
+
 def test_urls(spark):
     def judge(u):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
