@@ -6,7 +6,7 @@ labels offer their substrings, the counted words join them, and each label is sp
 own few words: nothing of the vocabulary is broadcast or collected.
 
 The words of host and path are scored by a multinomial naive Bayes of two classes, learned from all
-pages: a page is an example of the blocked class if one of its words is a seed. Words are counted
+pages: a page is an example of the blocked class if one of its words is a seed or a form of one. Words are counted
 in ``BUCKETS`` hash buckets, so the model has a fixed size.
 
 Rules come first: a rule fits its host and all its subdomains if the path starts with the rule's; the
@@ -33,6 +33,20 @@ from .common import pick
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 #: Words that make a page an example of the blocked class.
 SEEDS = ("adult", "bet", "betting", "casino", "cheap", "gambling", "loan", "loans", "pharmacy", "pills", "poker", "porn", "replica", "sex", "viagra", "xxx")
+#: Their forms in the corpus's languages (English, German, French, Spanish) besides a plural in -s.
+FORMS = {
+    "adult": ("adulte", "adultes", "adulto", "adultos", "adulta", "adultas", "erwachsene"),
+    "bet": ("wette", "wetten", "sportwetten", "apuesta", "apuestas"),
+    "casino": ("kasino", "kasinos"),
+    "cheap": ("cheaper", "cheapest", "billig", "billige", "billiger", "barato", "baratos", "barata", "baratas"),
+    "gambling": ("gamble", "gambler", "gamblers", "glücksspiel", "glücksspiele", "gluecksspiel"),
+    "loan": ("kredit", "kredite", "darlehen", "préstamo", "préstamos", "prestamo", "prestamos"),
+    "pharmacy": ("pharmacies", "apotheke", "apotheken", "pharmacie", "farmacia", "farmacias"),
+    "pills": ("pill", "pille", "pillen", "pilule", "pilules", "pastilla", "pastillas", "píldora", "píldoras"),
+    "porn": ("porno",),
+    "replica": ("replik", "repliken", "réplique", "répliques", "réplica", "réplicas"),
+    "sex": ("sexe", "sexo"),
+}
 BUCKETS = 1 << 16
 LONGEST = 20  # characters of a word inside a host name at least, longer ones as far as counted words go
 LABEL = 63  # characters a host label has at most, by the rules of host names
@@ -57,6 +71,11 @@ def rule(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     return pick_(1), pick_(0)
 
 
+def seed_words(seeds) -> list[str]:
+    """The seeds with their word forms."""
+    return sorted({w for s in seeds for w in (s, *((s + "s",) if not s.endswith("s") else ()), *FORMS.get(s, ()))})
+
+
 def tokens(named: Column) -> Column:
     """Runs of letters in lower case, and ``NUMBER`` for runs of digits; percent escapes are decoded."""
     decoded = F.try_url_decode(F.regexp_replace(F.regexp_replace(named, "%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B"))
@@ -121,7 +140,7 @@ def judge(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
         "page_id", "host", "path", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), tokens(F.col("path"))).alias("words")), "url-words")
 
     bucket = lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))
-    blocked = F.arrays_overlap("words", F.array(*(F.lit(s) for s in seeds)))
+    blocked = F.arrays_overlap("words", F.array(*(F.lit(s) for s in seed_words(seeds))))
     counts = (rows.select(blocked.alias("blocked"), F.explode("words").alias("w")).groupBy(bucket(F.col("w")).alias("bucket"), "blocked").count())
     table = np.zeros((2, BUCKETS))
     for r in counts.collect():  # two rows a bucket at most

@@ -229,6 +229,15 @@ def test_url_words_of_any_script(spark):
     assert [by[i].verdict for i in (0, 4, 5, 6)] == ["block", "block", "allow", "block"]
 
 
+def test_url_seed_forms(spark):
+    us = ["http://free-bets.example.org/a", "http://freebets.org/b", "http://www.free-bets.net/c", "http://sportwetten.org/", "http://apuestas.org/", "http://farmacias.org/"]
+    clean = [f"http://good-news.org/{w}" for w in ("a", "b", "c", "tree", "house", "river")]
+    html = "<p>free bets and good news sportwetten apuestas farmacias</p>"
+    d = spark.createDataFrame([(i, u, html) for i, u in enumerate(us + clean)], "page_id long, url string, html string")
+    by = {r.page_id: r.verdict for r in urls.judge(d).collect()}
+    assert [by[i] for i in range(len(us + clean))] == ["block"] * len(us) + ["allow"] * len(clean)
+
+
 def test_urls(spark):
     def judge(u):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
