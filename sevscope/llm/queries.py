@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lengths, mixing, quality, secrets, sharding, simhash, toxicity, urls
+from . import chat, decontam, lengths, mixing, phrases, quality, secrets, sharding, simhash, spelling, toxicity, urls
 from .bpe import Bpe
 from .common import table
 
@@ -158,3 +158,63 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict."""
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op13_phrase_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS gram, ws[i:i + size - 1] AS words FROM (
+        SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(size) WHERE len(ws) >= size)),
+f AS (SELECT lang, size, gram, any_value(words) AS words, count(*)::HUGEINT AS f FROM g GROUP BY lang, size, gram),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+h AS (SELECT * FROM f WHERE f >= 30),
+c AS (SELECT lang, gram, size, words, f AS a, unnest(range(1, size)) AS k FROM h WHERE size > 1),
+e AS (SELECT lang, gram, a, k, array_to_string(words[1:k], ' ') AS lg, array_to_string(words[k + 1:], ' ') AS rg FROM c),
+k AS (SELECT e.lang, e.gram, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+      FROM e JOIN h l ON l.lang = e.lang AND l.gram = e.lg JOIN h r ON r.lang = e.lang AND r.gram = e.rg),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+s AS (SELECT lang, gram, max(f) AS longer FROM (
+        SELECT lang, f, array_to_string(words[i:i + n - 1], ' ') AS gram FROM (
+          SELECT lang, f, words, n, unnest(range(1, size - n + 2)) AS i FROM (
+            SELECT lang, f, words, size, unnest(range(2, size)) AS n FROM h WHERE size > 2))) GROUP BY lang, gram),
+d AS (SELECT b.* FROM b LEFT JOIN s ON s.lang = b.lang AND s.gram = b.gram WHERE longer IS NULL OR 100 * longer < 80 * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank FROM d)
+SELECT lang, rank::BIGINT AS rank, gram AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n.n AS n, score::BIGINT AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's first phrases."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _crc32(of: str) -> str:
+    """SQL of the crc32 of a string whose letters have code points below 256; ``tab.t`` is its table."""
+    return (f"xor(list_reduce([4294967295] || flatten(list_transform(string_split({of}, ''), lambda x: CASE WHEN unicode(x) < 128 "
+            "THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END)), lambda a, b: xor(a >> 8, tab.t[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+_CRC_TABLE = ("tab AS MATERIALIZED (SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) "
+              "ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i))")
+
+
+@query("op11_spelling_variants", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS MATERIALIZED (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM (
+        SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 7),
+h AS (SELECT run, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, tab),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM h),
+v AS MATERIALIZED (SELECT word, count(*)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+x AS MATERIALIZED (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS short FROM (
+        SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.i = b.i AND a.short = b.short WHERE a.word <> b.word
+      UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.short UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.short),
+q AS (SELECT p.word, count(*) AS n_near, arg_min(p.other, (-v.n, p.other)) AS best, max(v.n) AS best_n FROM p JOIN v ON v.word = p.other GROUP BY p.word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 10 * v.n THEN best END AS form,
+        CASE WHEN best_n >= 10 * v.n THEN best_n END AS form_n FROM v LEFT JOIN q USING (word)),
+c AS (SELECT word, form AS aim, 1 AS steps FROM f WHERE form IS NOT NULL
+      UNION ALL SELECT c.word, f.form, steps + 1 FROM c JOIN f ON f.word = c.aim WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(aim, steps) AS root FROM c GROUP BY word)
+SELECT f.word, f.n, f.form, coalesce(e.root, f.word) AS root, f.n_near, f.form_n FROM f LEFT JOIN e USING (word)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words, form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
