@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lengths, mixing, phrases, quality, secrets, sharding, simhash, spelling, toxicity, urls
+from . import chat, decontam, language, lengths, mixing, phrases, quality, secrets, sharding, simhash, spelling, toxicity, urls
 from .bpe import Bpe
 from .common import table
 
@@ -218,3 +218,28 @@ SELECT f.word, f.n, f.form, coalesce(e.root, f.word) AS root, f.n_near, f.form_n
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word with its near words, form and root."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_language_id", rf"""
+WITH {_CRC_TABLE},
+t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) AS text FROM documents),
+o AS MATERIALIZED (SELECT t.r, t.doc_id, t.lang, {_crc32("coalesce(t.doc_id::VARCHAR, '')")} % {language.FOLDS} = 0 AS held_out FROM t, tab),
+w AS (SELECT r, ' ' || word || ' ' AS word, count(*) AS n FROM (SELECT r, unnest(string_split(text, ' ')) AS word FROM t WHERE text <> '') GROUP BY ALL),
+g AS MATERIALIZED (SELECT r, gram, sum(n) AS n FROM (
+        SELECT r, n, unnest(list_transform(range(2, length(word)), lambda i: word[i])) AS gram FROM w UNION ALL
+        SELECT r, n, unnest(list_transform(range(1, length(word)), lambda i: word[i:i + 1])) FROM w UNION ALL
+        SELECT r, n, unnest(list_transform(range(1, length(word) - 1), lambda i: word[i:i + 2])) FROM w) GROUP BY r, gram),
+p AS MATERIALIZED (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(gram), gram) AS place FROM (
+        SELECT lang, gram, sum(n) AS n FROM g JOIN o USING (r) WHERE lang IS NOT NULL AND NOT held_out GROUP BY lang, gram)
+      QUALIFY place <= {language.KEEP}),
+d AS MATERIALIZED (SELECT r, gram, row_number() OVER (PARTITION BY r ORDER BY n DESC, length(gram), gram) AS place FROM g QUALIFY place <= {language.KEEP}),
+m AS (SELECT r, lang, sum(abs(d.place - p.place) - {language.KEEP}) AS nearer FROM d JOIN p USING (gram) GROUP BY r, lang),
+s AS (SELECT r, {language.KEEP} * count(*) AS most FROM d GROUP BY r),
+e AS (SELECT r, lang, most, most + coalesce(nearer, 0) AS distance FROM s CROSS JOIN (SELECT DISTINCT lang FROM p) LEFT JOIN m USING (r, lang)),
+b AS (SELECT r, lang, distance, coalesce(lead(distance) OVER x, most) AS second, row_number() OVER x AS k FROM e WINDOW x AS (PARTITION BY r ORDER BY distance, lang))
+SELECT o.doc_id, o.held_out, coalesce(b.lang, 'und') AS lang_pred,
+       coalesce(CASE WHEN second > 0 THEN (second - distance)::DOUBLE / second::DOUBLE END, 0.0) AS score
+FROM o LEFT JOIN b ON b.r = o.r AND b.k = 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language."""
+    return language.identify(table(spark, sf_dir, "documents"))
