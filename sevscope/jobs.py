@@ -2,7 +2,7 @@
 
     python -m sevscope.jobs clean      --raw-csv-dir DIR | --sf-dir DIR  --out OUT
     python -m sevscope.jobs baselines  --out OUT
-    python -m sevscope.jobs stratified --out OUT [--grid full|reduced] [--refit-on-full]
+    python -m sevscope.jobs stratified --out OUT [--refit-on-full]
     python -m sevscope.jobs narrative  --out OUT
     python -m sevscope.jobs misses     --out OUT
     python -m sevscope.jobs cluster    --out OUT [--level ADS]
@@ -107,12 +107,9 @@ def step_baselines(spark: SparkSession, out: str) -> None:
                        _results(out, "false_negatives"))
 
 
-def step_stratified(spark: SparkSession, out: str, grid: str = "full",
-                    refit_on_full: bool = False) -> None:
+def step_stratified(spark: SparkSession, out: str, refit_on_full: bool = False) -> None:
     """LR / RF / boosted per level with thresholds from validation (reference step 3)."""
-    kw = {} if grid == "full" else {"rf_grid": {"n_est": [100], "depth": [10], "leaf": [5]},
-                                    "gbt_grid": {"lr": [0.05], "depth": [5], "spw": [1]}}
-    res, tables = MO.stratified_models(_known(spark, out), refit_on_full=refit_on_full, **kw)
+    res, tables = MO.stratified_models(_known(spark, out), refit_on_full=refit_on_full)
     _write_rows(spark, res, _results(out, "all_stratified_results"))
     _write_rows(spark, MO.best_per_level(res), _results(out, "stratified_by_level_results"))
     for name, rows in tables.items():
@@ -182,7 +179,6 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir")
     ap.add_argument("--raw-csv-dir")
     ap.add_argument("--level", default="ADS")
-    ap.add_argument("--grid", choices=["full", "reduced"], default="full")
     ap.add_argument("--refit-on-full", action="store_true")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
@@ -199,7 +195,7 @@ def run_step(spark: SparkSession, a) -> None:
     elif a.step == "baselines":
         step_baselines(spark, a.out)
     elif a.step == "stratified":
-        step_stratified(spark, a.out, a.grid, a.refit_on_full)
+        step_stratified(spark, a.out, a.refit_on_full)
     elif a.step == "narrative":
         step_narrative(spark, a.out)
     elif a.step == "misses":

@@ -77,6 +77,13 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None,
     return out.select(*by, auc.alias("roc_auc"))
 
 
+def score_histogram(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """(``by``, score, pos, neg): rows of each class at every score. It answers every threshold of
+    every group, e.g. of all settings of a grid by a model column, in one pass over the scored rows."""
+    y = F.col(label)
+    return df.groupBy(*(by or []), score).agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+
+
 def threshold_sweep(df: DataFrame, label: str, prob: str, thresholds=THRESHOLDS,
                     floor: float = PRECISION_FLOOR, by: list[str] | None = None,
                     digits: int | None = 6) -> DataFrame:
@@ -85,16 +92,25 @@ def threshold_sweep(df: DataFrame, label: str, prob: str, thresholds=THRESHOLDS,
     Choice: maximise (precision >= floor, F1, recall); the lowest threshold wins ties.
     Precision/recall use max(denominator, 1), as the reference's sweep does.
     """
+    y = F.col(label)
+    rows = df.select(*(by or []), prob, (y == 1).cast("long").alias("pos"), (y == 0).cast("long").alias("neg"))
+    return sweep_histogram(rows, prob, thresholds, floor, by, digits)
+
+
+def sweep_histogram(hist: DataFrame, prob: str, thresholds=THRESHOLDS, floor: float = PRECISION_FLOOR,
+                    by: list[str] | None = None, digits: int | None = 6) -> DataFrame:
+    """``threshold_sweep`` of a score histogram."""
     by = list(by or [])
-    y, p = F.col(label), F.col(prob)
+    p = F.col(prob)
     aggs = []
     for i, t in enumerate(thresholds):
         hit = p >= F.lit(float(t))
+        part = lambda side, c: F.coalesce(F.sum(F.when(side, F.col(c))), F.lit(0))
         aggs.append(F.struct(F.lit(float(t)).alias("threshold"),
-                             F.count_if(hit & (y == 1)).alias("TP"),
-                             F.count_if(hit & (y == 0)).alias("FP"),
-                             F.count_if(~hit & (y == 1)).alias("FN")).alias(f"__t{i}"))
-    wide = df.groupBy(*by).agg(*aggs)
+                             part(hit, "pos").alias("TP"),
+                             part(hit, "neg").alias("FP"),
+                             part(~hit, "pos").alias("FN")).alias(f"__t{i}"))
+    wide = hist.groupBy(*by).agg(*aggs)
     long = wide.select(*by, F.inline(F.array(*[F.col(f"__t{i}") for i in range(len(thresholds))])))
     tp, fp, fn = F.col("TP"), F.col("FP"), F.col("FN")
     prec = tp / F.greatest(tp + fp, F.lit(1))
@@ -130,24 +146,22 @@ def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
              presence: bool = False) -> DataFrame:
     """Confusion counts + rates (+ AUC when a score is given) per group.
 
-    ``presence`` keeps ``__pos`` / ``__neg``, so a caller can drop single-class groups
-    (``both_classes()``) without another pass or a join.
+    With a score, all come from one histogram: rows are counted per (group, score) once, and
+    counts and AUC are sums over it. ``presence`` keeps ``__pos`` / ``__neg``, so a caller can drop
+    single-class groups (``both_classes()``) without another pass or a join.
     """
     by = list(by or [])
-    out = with_rates(confusion_counts(df, label, pred, by, presence), digits)
-    if score is not None:
-        auc = roc_auc(df, label, score, by, digits)
-        out = join_groups(out, auc, by) if by else _attach_single(out, auc)
-    return out
-
-
-def _attach_single(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Attach the columns of the one-row ``right`` to ``left`` as literals (one row
-    through the driver; no join, so no cartesian product in the plan)."""
-    row = right.first()
-    vals = row.asDict() if row is not None else {c: None for c in right.columns}
-    types = {f.name: f.dataType for f in right.schema.fields}
-    return left.withColumns({c: F.lit(vals[c]).cast(types[c]) for c in right.columns})
+    if score is None:
+        return with_rates(confusion_counts(df, label, pred, by, presence), digits)
+    scored = df.select(*by, label, pred, F.col(score).cast("double").alias("__s"))
+    hist = confusion_counts(scored, label, pred, [*by, "__s"], presence=True)
+    ranked = prefix_sums(hist, by, ["__s"], ["__neg"])
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("TP", "FP", "FN", "TN", "__pos", "__neg")]
+    u = F.sum(F.col("__pos") * (F.col("__neg_before") + F.col("__neg") / 2.0)).alias("__u")
+    out = with_rates(ranked.groupBy(*by).agg(*total, u), digits)
+    auc = F.when(both_classes(), F.col("__u") / (F.col("__pos") * F.col("__neg")))
+    out = out.withColumn("roc_auc", F.round(auc, digits) if digits is not None else auc).drop("__u")
+    return out if presence else out.drop("__pos", "__neg")
 
 
 def miss_summary(df: DataFrame, label: str, pred: str, by: list[str],

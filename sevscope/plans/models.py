@@ -3,7 +3,9 @@
 Each fit is a distributed estimator run; the driver only loops over the small
 hyper-parameter grid and reads back metric rows. Frames reused across a grid are
 checkpointed once (``cut_lineage``), so a lost executor re-reads the checkpoint
-instead of recomputing cleaning + flags + features.
+instead of recomputing cleaning + flags + features. Finished grid points and forests are
+kept (``model_store``), so a search that was stopped goes on where it stood and queries over the same
+search share it. One forest per leaf size answers all its numbers of trees and depths (``operators.forest``).
 
 Mapping of the reference's estimators:
   * weighted L2 logistic regression: ``regParam = 1 / (C * sum(w))``,
@@ -14,10 +16,13 @@ Mapping of the reference's estimators:
 """
 from __future__ import annotations
 
+import functools
+import math
+import threading
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +31,11 @@ from .. import schema as S
 from ..functions import narrative as N
 from ..functions.flags import threshold_decision
 from ..operators import features as FE
+from ..operators import forest as FO
 from ..operators import metrics as M
 from ..operators import splits as SP
 from ..session import cut_lineage
+from .model_store import ModelStore, fingerprint
 
 LABEL = "severe"
 WEIGHT = "weight"
@@ -74,7 +81,8 @@ def fit_rf(train: DataFrame, n_est: int, depth, leaf: int, features: str = "feat
     w = FE.balanced_weight_col(train, LABEL, WEIGHT)
     rf = RandomForestClassifier(featuresCol=features, labelCol=LABEL, weightCol=WEIGHT,
                                 numTrees=n_est, maxDepth=MAX_DEPTH_NONE if depth is None else depth,
-                                minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed)
+                                minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed,
+                                cacheNodeIds=True, maxMemoryInMB=1024)
     return rf.fit(w)
 
 
@@ -83,7 +91,7 @@ def fit_gbt(train: DataFrame, lr: float, depth: int, spw: float, rounds: int = G
     """Boosted trees with a positive-class weight."""
     w = FE.pos_weight_col(train, LABEL, spw, WEIGHT)
     gbt = GBTClassifier(featuresCol=features, labelCol=LABEL, weightCol=WEIGHT, maxIter=rounds,
-                        stepSize=lr, maxDepth=depth, seed=seed)
+                        stepSize=lr, maxDepth=depth, seed=seed, cacheNodeIds=True)
     return gbt.fit(w)
 
 
@@ -106,10 +114,10 @@ class ModelResult:
     metrics: dict
     table: list = field(default_factory=list)   # coefficients or importances
     params: dict = field(default_factory=dict)
+    points: list = field(default_factory=list)  # grid points with their best thresholds
 
 
 def _coef_rows(model, names: list[str]) -> list[dict]:
-    import math
     coefs = model.coefficients.toArray().tolist()
     rows = [{"feature": n, "coefficient": c, "odds_ratio": math.exp(c)} for n, c in zip(names, coefs)]
     return sorted(rows, key=lambda r: -abs(r["coefficient"]))
@@ -121,19 +129,45 @@ def _imp_rows(model, names: list[str]) -> list[dict]:
                   key=lambda r: -r["importance"])
 
 
-def _matrices(fit_df, val_df, train_df, test_df, feats, refit_on_full=False):
-    """Design matrices for validation (fitted on the sub-train) and for the final
-    refit/test. By default - as the reference does - the final model and its test
-    matrix also use the sub-train; ``refit_on_full`` fits both on the whole train."""
-    spec_sub = FE.fit_features(fit_df, feats)
-    fit_m = cut_lineage(spec_sub.transform(fit_df))
-    val_m = cut_lineage(spec_sub.transform(val_df))
+#: Rows of a design matrix that one task of a fit reads; a fit runs many short jobs, so small matrices take few tasks.
+FIT_ROWS_PER_TASK = 20_000
+#: Labelled rows of a grid's fit at most (a seeded sample beyond it); scores and metrics are of all rows.
+MAX_FIT_ROWS = 2_000_000
+
+
+def _compact(matrix: DataFrame) -> DataFrame:
+    return matrix.coalesce(max(1, math.ceil(matrix.count() / FIT_ROWS_PER_TASK)))
+
+
+@dataclass
+class Matrices:
+    """Design matrices of one level; ``train`` is what the final model is fitted on."""
+    fit: DataFrame
+    val: DataFrame
+    train: DataFrame
+    test: DataFrame
+    names: list[str]
+    split_type: str
+
+
+def _matrices(lvl: DataFrame, feats: list[str], refit_on_full: bool = False, max_fit_rows: int = MAX_FIT_ROWS) -> Matrices:
+    """By default - as the reference does - the final model and its test matrix also use
+    the sub-train; ``refit_on_full`` fits both on the whole train."""
+    sp = SP.split_within_level(lvl)
+    fit_df, val_df = SP.holdout(sp.train)
+    train_df = sp.train
+    if fit_df.count() > max_fit_rows:
+        fit_df = SP.capped_sample(fit_df, "incident_key", max_fit_rows)
+    spec = FE.fit_features(fit_df, feats)
+    fit_m = _compact(cut_lineage(spec.transform(fit_df)))
+    val_m = cut_lineage(spec.transform(val_df))
+    train_m = fit_m
     if refit_on_full:
-        spec_full = FE.fit_features(train_df, feats)
-        train_m = cut_lineage(spec_full.transform(train_df))
-        test_m = cut_lineage(spec_full.transform(test_df))
-        return fit_m, val_m, train_m, test_m, spec_full.names
-    return fit_m, val_m, fit_m, cut_lineage(spec_sub.transform(test_df)), spec_sub.names
+        if train_df.count() > max_fit_rows:
+            train_df = SP.capped_sample(train_df, "incident_key", max_fit_rows)
+        spec = FE.fit_features(train_df, feats)
+        train_m = _compact(cut_lineage(spec.transform(train_df)))
+    return Matrices(fit_m, val_m, train_m, cut_lineage(spec.transform(sp.test)), spec.names, sp.split_type)
 
 
 GRID_PARALLELISM = 4
@@ -155,57 +189,76 @@ def _sweep_best(model, val_m) -> dict:
     return M.best_threshold(M.threshold_sweep(val, LABEL, "prob", digits=None))
 
 
-def _select(candidates):
+def _select(candidates: list[dict]) -> dict:
     """Best by (meets floor, F1, recall); first wins ties (strict >)."""
     best = None
-    for params, b in candidates:
+    for c in candidates:
+        b = c["best"]
         key = (b.get("meets_floor", 0), b.get("f1", 0.0), b.get("recall", 0.0))
         if best is None or key > best[0]:
-            best = (key, params, b)
-    return best
+            best = (key, c)
+    return best[1]
 
 
-def run_lr_grid(level, fit_m, val_m, train_m, test_m, names, grid=LR_C_GRID, refit_on_full=False):
+def _final(level: str, name: str, chosen: dict, fit, table, mats) -> dict:
+    """Refit of the chosen point and its test metrics at the chosen threshold."""
+    m = mats()
+    model = fit(m.train)
+    metrics = evaluate_at(with_probability(model.transform(m.test)), chosen["best"]["threshold"])[0]
+    metrics.update(model=f"{name} [{level}]", threshold=chosen["best"]["threshold"], automation_level=level, split_type=m.split_type)
+    return {"metrics": metrics, "table": table(model, m.names), "params": chosen["params"]}
+
+
+def run_lr_grid(level: str, mats, store: ModelStore, grid=LR_C_GRID) -> ModelResult:
     """C grid x threshold sweep on validation, refit, test metrics."""
-    cands = _grid_map(lambda c: ({"C": c}, _sweep_best(fit_lr(fit_m, c), val_m)), grid)
-    _, params, b = _select(cands)
-    final = fit_lr(train_m, params["C"])
-    met = evaluate_at(with_probability(final.transform(test_m)), b["threshold"])[0]
-    met.update(model=f"LR [{level}]", threshold=b["threshold"], **params)
-    return ModelResult(met, _coef_rows(final, names), params)
+    def point(c):
+        return store.result(f"lr-{level}-{c}", lambda: {"params": {"C": c}, "best": _sweep_best(fit_lr(mats().fit, c), mats().val)})
+    chosen = _select(_grid_map(point, grid))
+    res = store.result(f"lr-{level}-final", lambda: _final(level, "LR", chosen, lambda t: fit_lr(t, **chosen["params"]), _coef_rows, mats))
+    res["metrics"].update(chosen["params"])
+    return ModelResult(**res)
 
 
-def run_rf_grid(level, fit_m, val_m, train_m, test_m, names, grid=None, refit_on_full=False):
-    """Forest grid x threshold sweep (I4)."""
+def run_rf_grid(level: str, mats, store: ModelStore, grid=None) -> ModelResult:
+    """Forest grid x threshold sweep (I4): one forest per leaf size, whose trees' prefixes and cuts give
+    the scores of its other points; one histogram of all scores answers every threshold of every point."""
     grid = grid or RF_GRID
-    def point(p):
-        n_est, depth, leaf = p
-        return ({"n_est": n_est, "depth": depth, "leaf": leaf},
-                _sweep_best(fit_rf(fit_m, n_est, depth, leaf), val_m))
-    cands = _grid_map(point, product(grid["n_est"], grid["depth"], grid["leaf"]))
-    _, params, b = _select(cands)
-    final = fit_rf(train_m, **params)
-    met = evaluate_at(with_probability(final.transform(test_m)), b["threshold"])[0]
-    met.update(model=f"RF [{level}]", threshold=b["threshold"])
-    return ModelResult(met, _imp_rows(final, names), params)
-
-
-def run_gbt_grid(level, fit_m, val_m, train_m, test_m, names, grid=None, rounds=GBT_ROUNDS,
-                 refit_on_full=False):
+    most = None if None in grid["depth"] else max(grid["depth"])
+
+    def leaf_points(leaf):
+        name = f"rf-{level}-leaf{leaf}"
+
+        def make():
+            model, path = store.model(name, RandomForestClassificationModel.load, lambda: fit_rf(mats().fit, max(grid["n_est"]), most, leaf))
+            scores = FO.grid_scores(model, path, mats().val, LABEL, grid["n_est"], grid["depth"])
+            by = ["n_est", "depth"]
+            sweep = M.sweep_histogram(M.score_histogram(scores, LABEL, "prob", by), "prob", by=by, digits=None)
+            return {"points": [{"params": {"n_est": r.n_est, "depth": r.depth, "leaf": leaf}, "best": r.asDict()}
+                               for r in sweep.where("chosen = 1").collect()]}
+        return store.result(name, make)["points"]
+
+    found = {tuple(p["params"].values()): p for points in _grid_map(leaf_points, grid["leaf"]) for p in points}
+    points = [found[p] for p in product(grid["n_est"], grid["depth"], grid["leaf"])]
+    chosen = _select(points)
+    res = store.result(f"rf-{level}-final", lambda: _final(level, "RF", chosen, lambda t: fit_rf(t, **chosen["params"]), _imp_rows, mats))
+    return ModelResult(**res, points=points)
+
+
+def run_gbt_grid(level: str, mats, store: ModelStore, grid=None, rounds=GBT_ROUNDS) -> ModelResult:
     """Boosted grid x threshold sweep (I5); spw options from the sub-train counts (H7)."""
     grid = grid or GBT_GRID
-    spws = spw_options(fit_m)
+    spws = store.result(f"xgb-{level}-spw", lambda: {"spw": spw_options(mats().fit)})["spw"]
+
     def point(p):
         lr, depth, opt = p
-        return ({"lr": lr, "depth": depth, "spw": round(spws[opt], 3)},
-                _sweep_best(fit_gbt(fit_m, lr, depth, spws[opt], rounds), val_m))
-    cands = _grid_map(point, product(grid["lr"], grid["depth"], grid["spw"]))
-    _, params, b = _select(cands)
-    final = fit_gbt(train_m, params["lr"], params["depth"],
-                    params["spw"], rounds)
-    met = evaluate_at(with_probability(final.transform(test_m)), b["threshold"])[0]
-    met.update(model=f"XGB [{level}]", threshold=b["threshold"])
-    return ModelResult(met, _imp_rows(final, names), params)
+        return store.result(f"xgb-{level}-{lr}-{depth}-{opt}", lambda: {
+            "params": {"lr": lr, "depth": depth, "spw": spws[opt]}, "best": _sweep_best(fit_gbt(mats().fit, lr, depth, spws[opt], rounds), mats().val)})
+
+    points = _grid_map(point, product(grid["lr"], grid["depth"], grid["spw"]))
+    chosen = _select(points)
+    res = store.result(f"xgb-{level}-final", lambda: _final(
+        level, "XGB", chosen, lambda t: fit_gbt(t, chosen["params"]["lr"], chosen["params"]["depth"], chosen["params"]["spw"], rounds), _imp_rows, mats))
+    return ModelResult(**res, points=points)
 
 
 # --- jobs ------------------------------------------------------------------------------
@@ -241,36 +294,53 @@ def pooled_baseline(known: DataFrame):
 
 def stratified_models(known: DataFrame, algorithms=("LR", "RF", "XGB"), lr_grid=LR_C_GRID,
                       rf_grid=None, gbt_grid=None, gbt_rounds=GBT_ROUNDS,
-                      refit_on_full: bool = False) -> tuple[list[dict], dict]:
+                      refit_on_full: bool = False, max_fit_rows: int = MAX_FIT_ROWS) -> tuple[list[dict], dict]:
     """Per level: own feature set, split, 25% validation, grids, test metrics.
 
-    ADS uses tabular + 21 narrative flags; L2 tabular only.
+    ADS uses tabular + 21 narrative flags; L2 tabular only. ``algorithms`` may also name them by level.
+    Searches run side by side and are kept under a fingerprint of the level's rows and of the parameters.
     """
     flagged = N.ensure_narrative_flags(known)
     tab = [f for f in context_features(flagged) if f != "automation_level"]
-    results, tables = [], {}
+    searches = []
     for level, feats in (("ADS", tab + N.NAV_FEATURES), ("L2", tab)):
+        names = algorithms.get(level, ()) if isinstance(algorithms, dict) else algorithms
         lvl = flagged.where(F.col("automation_level") == level)
-        if lvl.limit(1).count() == 0:
+        if not names or lvl.limit(1).count() == 0:
             continue
-        sp = SP.split_within_level(lvl)
-        fit_df, val_df = SP.holdout(sp.train)
-        fit_m, val_m, train_m, test_m, names = _matrices(fit_df, val_df, sp.train, sp.test, feats,
-                                                         refit_on_full)
-        fset = "narrative+tabular" if level == "ADS" else "tabular"
-        runners = {"LR": lambda: run_lr_grid(level, fit_m, val_m, train_m, test_m, names, lr_grid,
-                                             refit_on_full),
-                   "RF": lambda: run_rf_grid(level, fit_m, val_m, train_m, test_m, names, rf_grid,
-                                             refit_on_full),
-                   "XGB": lambda: run_gbt_grid(level, fit_m, val_m, train_m, test_m, names, gbt_grid,
-                                               gbt_rounds, refit_on_full)}
-        for algo in algorithms:
-            res = runners[algo]()
-            res.metrics.update(automation_level=level, algorithm=algo, feature_set=fset,
-                               split_type=sp.split_type)
-            results.append(res.metrics)
-            tables[f"{algo.lower()}_{level.lower()}"] = res.table
-    return results, tables
+        rows = lvl.select(*dict.fromkeys([*feats, LABEL, "incident_key", "era"]))
+        store = ModelStore(known.sparkSession, fingerprint(rows, level, feats, lr_grid, rf_grid or RF_GRID, gbt_grid or GBT_GRID, gbt_rounds,
+                                                           refit_on_full, max_fit_rows))
+        searches += [(level, algo, _once(functools.partial(_matrices, lvl, feats, refit_on_full, max_fit_rows)) if algo == names[0] else None, store)
+                     for algo in names]
+    mats = {level: m for level, _, m, _ in searches if m}
+
+    def run(search):
+        level, algo, _, store = search
+        if algo == "LR":
+            res = run_lr_grid(level, mats[level], store, lr_grid)
+        elif algo == "RF":
+            res = run_rf_grid(level, mats[level], store, rf_grid)
+        else:
+            res = run_gbt_grid(level, mats[level], store, gbt_grid, gbt_rounds)
+        res.metrics.update(algorithm=algo, feature_set="narrative+tabular" if level == "ADS" else "tabular")
+        return res
+
+    found = _grid_map(run, searches, len(searches))
+    return ([r.metrics for r in found],
+            {f"{algo.lower()}_{level.lower()}": r.table for (level, algo, _, _), r in zip(searches, found)})
+
+
+def _once(make):
+    """``make()`` when first asked, for all threads that ask."""
+    lock, kept = threading.Lock(), []
+
+    def get():
+        with lock:
+            if not kept:
+                kept.append(make())
+            return kept[0]
+    return get
 
 
 def best_per_level(results: list[dict], choice=BEST_PER_LEVEL) -> list[dict]:

@@ -2,7 +2,8 @@
 fits are not SQL-expressible, so these have no oracle statement.
 
 Grids: the queries run the reference's grids in full (``models.LR_C_GRID``, ``models.RF_GRID``,
-``models.GBT_GRID``) on all labelled rows.
+``models.GBT_GRID``) on all labelled rows. Finished points are kept in the checkpoint folder
+(``model_store``), so the queries share one search, also from different sessions.
 """
 from __future__ import annotations
 
@@ -40,9 +41,13 @@ def _pooled(spark, sf_dir):
     return _memo(spark, sf_dir, "pooled", lambda: MO.pooled_baseline(_known(spark, sf_dir)))
 
 
-def _stratified(spark, sf_dir):
-    return _memo(spark, sf_dir, "stratified", lambda: MO.stratified_models(
-        _known(spark, sf_dir), lr_grid=MO.LR_C_GRID, rf_grid=MO.RF_GRID, gbt_grid=MO.GBT_GRID))
+def _stratified(spark, sf_dir, algorithms=("LR", "RF", "XGB")):
+    return MO.stratified_models(_known(spark, sf_dir), algorithms)
+
+
+def _chosen(spark, sf_dir):
+    """The models of ``BEST_PER_LEVEL``; no other family is searched."""
+    return _stratified(spark, sf_dir, {level: (algo,) for level, algo in MO.BEST_PER_LEVEL.items()})
 
 
 def _ablation(spark, sf_dir):
@@ -87,14 +92,14 @@ def stratified_models(spark, sf_dir):
 @register("best_per_level")
 def best_per_level(spark, sf_dir):
     """Hard-coded choice RF for ADS, LR for L2."""
-    res, _ = _stratified(spark, sf_dir)
+    res, _ = _chosen(spark, sf_dir)
     return _metric_rows(spark, MO.best_per_level(res), ", automation_level string, algorithm string")
 
 
 @register("importances")
 def importances(spark, sf_dir):
     """Forest and boosted feature importances of both levels (I8)."""
-    _, tables = _stratified(spark, sf_dir)
+    _, tables = _stratified(spark, sf_dir, ("RF", "XGB"))
     rows = [(k, r["feature"], r["importance"]) for k, t in tables.items() if k.startswith(("rf_", "xgb_"))
             for r in t]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
@@ -125,7 +130,7 @@ def nav_coefficients(spark, sf_dir):
 def pooled_vs_stratified(spark, sf_dir):
     """Pooled model's ADS slice beside the stratified ADS choice."""
     pooled, _, _ = _pooled(spark, sf_dir)
-    strat, _ = _stratified(spark, sf_dir)
+    strat, _ = _chosen(spark, sf_dir)
     return MO.pooled_vs_stratified(pooled, strat, spark)
 
 

@@ -1,16 +1,20 @@
 """Model checks: the LR objective mapping against an independent solver, and the
 feature builder's encoding rules (H1)."""
 import threading
+import uuid
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevscope.operators import features as FE
+from sevscope.operators import forest as FO
+from sevscope.operators import metrics as M
 from sevscope.plans import models as MO
+from sevscope.plans.model_store import ModelStore, fingerprint
 
 
 def _newton(X, y, w, C, iters=100):
@@ -61,38 +65,117 @@ def test_constant_numeric_is_zero_on_train(spark):
     assert [r.x for r in out.collect()] == [0.0, 0.0]
 
 
+def _noisy(spark, n=400, seed=5):
+    rng = np.random.default_rng(seed)
+    X = rng.normal(size=(n, 5)).round(2)
+    y = (X[:, 0] * X[:, 1] + rng.normal(size=n) > 0).astype(int)
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("severe", T.IntegerType())])
+    return spark.createDataFrame([(Vectors.dense(x.tolist()), int(t)) for x, t in zip(X, y)], schema)
+
+
+def test_prefixes_of_a_forest_are_averages_of_its_trees(spark, tmp_path):
+    df = _noisy(spark).coalesce(1)
+    model = MO.fit_rf(df, 7, None, 2)
+    model.write().overwrite().save(str(tmp_path / "f"))
+    got = FO.grid_scores(model, str(tmp_path / "f"), df, "severe", [1, 3, 7], [None, 4])
+    rows = df.select("features", "severe").collect()
+    per_tree = np.array([[t.predictProbability(r.features)[1] for t in model.trees] for r in rows])
+    for n in (1, 3, 7):
+        own = sorted(r.prob for r in got.where(f"n_est = {n} and depth is null").collect())
+        assert np.allclose(own, np.sort(per_tree[:, :n].mean(axis=1)))
+    assert got.count() == 6 * len(rows)
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5])
+def test_cut_tree_is_the_tree_of_that_depth(spark, tmp_path, depth):
+    df = _noisy(spark, 300, 9).coalesce(1)
+    fit = lambda d: RandomForestClassifier(labelCol="severe", numTrees=1, maxDepth=d, featureSubsetStrategy="all", bootstrap=False, seed=1).fit(df)
+    deep = fit(12)
+    deep.write().overwrite().save(str(tmp_path / "f"))
+    got = sorted(r.prob for r in FO.grid_scores(deep, str(tmp_path / "f"), df, "severe", [1], [depth]).collect())
+    want = sorted(r.prob for r in MO.with_probability(fit(depth).transform(df)).collect())
+    assert np.allclose(got, want)
+
+
+def test_stopped_search_goes_on(spark):
+    store = ModelStore(spark, f"test-{uuid.uuid4().hex}")
+    made = []
+
+    def point(i, stop):
+        def make():
+            if i == stop:
+                raise RuntimeError("executor lost")
+            made.append(i)
+            return {"i": i, "auc": 0.5, "none": None}
+        return store.result(f"p{i}", make)
+
+    with pytest.raises(RuntimeError):
+        [point(i, 2) for i in range(4)]
+    again = ModelStore(spark, store.root.rsplit("/", 1)[1])
+    store = again
+    assert [point(i, None)["i"] for i in range(4)] == [0, 1, 2, 3]
+    assert made == [0, 1, 2, 3]  # none twice
+    df = _noisy(spark, 60)
+    fits = []
+    make = lambda: fits.append(1) or MO.fit_rf(df, 2, 3, 1)
+    for _ in range(2):
+        model, path = store.model("rf", RandomForestClassificationModel.load, make)
+    assert len(fits) == 1 and model.getNumTrees == 2
+
+
+def test_fingerprint_is_of_rows_in_any_order(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "k int, v string")
+    assert fingerprint(a, "p", None) == fingerprint(a.orderBy("k", ascending=False).repartition(3), "p", None)
+    assert len({fingerprint(a, "p"), fingerprint(a, "q"), fingerprint(a.where("k = 1"), "p"), fingerprint(a.distinct(), "p")}) == 4
+
+
 def test_registered_queries_search_whole_grids(spark, monkeypatch):
-    """Every point of the forest and boosted grids is tried at both levels; cheap fits stand in."""
+    """Every point of the grids is tried at both levels; cheap fits stand in for the estimators."""
     from tests.conftest import SF_SMALL
     from sevscope.plans import q_models as Q
-    tried, lock, models, sweeps = [], threading.Lock(), {}, {}
-    sweep = MO._sweep_best
+    fits, models, lock, root = [], {}, threading.Lock(), f"test-{uuid.uuid4().hex}"
 
     def stand_in(family, estimator):
         def fit(train, *point, **named):
             with lock:
-                tried.append((family, id(train), *point, *named.values()))
+                fits.append((family, *point, *named.values()))
                 if (family, id(train)) not in models:
                     models[family, id(train)] = train, estimator.fit(train)
                 return models[family, id(train)][1]
         return fit
 
-    def swept(model, val_m):
-        with lock:
-            if id(model) not in sweeps:
-                sweeps[id(model)] = sweep(model, val_m)
-            return sweeps[id(model)]
-
-    monkeypatch.setattr(Q, "_MEMO", {})
-    monkeypatch.setattr(MO, "_sweep_best", swept)
-    monkeypatch.setattr(MO, "fit_rf", stand_in("RF", RandomForestClassifier(labelCol=MO.LABEL, numTrees=2, maxDepth=2, seed=1)))
-    monkeypatch.setattr(MO, "fit_gbt", stand_in("XGB", GBTClassifier(labelCol=MO.LABEL, maxIter=2, maxDepth=2, seed=1)))
-    rows = Q.stratified_models(spark, SF_SMALL).collect()
-    assert {(r.automation_level, r.algorithm) for r in rows} == {(lv, a) for lv in ("ADS", "L2") for a in ("LR", "RF", "XGB")}
-    assert len(rows) == 6
-    # 27 points and the refit, at two levels
-    for family in ("RF", "XGB"):
-        own = [t for t in tried if t[0] == family]
-        assert len(own) == 2 * 28 and len({t[1:] for t in own}) >= 2 * 27
-    assert {r.model for r in Q.importances(spark, SF_SMALL).collect()} == {"rf_ads", "rf_l2", "xgb_ads", "xgb_l2"}
-    assert [r.algorithm for r in Q.best_per_level(spark, SF_SMALL).orderBy("automation_level").collect()] == ["RF", "LR"]
+    init = ModelStore.__init__
+    monkeypatch.setattr(ModelStore, "__init__", lambda self, spark, name: init(self, spark, f"{root}/{name}"))
+    monkeypatch.setattr(MO, "_sweep_best", lambda model, val: {"threshold": 0.5, "f1": 0.5, "recall": 0.5, "meets_floor": 1})
+    monkeypatch.setattr(MO, "fit_rf", stand_in("RF", RandomForestClassifier(labelCol=MO.LABEL, numTrees=300, maxDepth=1, seed=1)))
+    monkeypatch.setattr(MO, "fit_gbt", stand_in("XGB", GBTClassifier(labelCol=MO.LABEL, maxIter=1, maxDepth=1, seed=1)))
+    chosen = Q.best_per_level(spark, SF_SMALL).orderBy("automation_level").collect()
+    assert [r.algorithm for r in chosen] == ["RF", "LR"]
+    assert not [f for f in fits if f[0] == "XGB"] and len([f for f in fits if f[0] == "RF"]) == 4  # a leaf size each, and the refit
+    search = lambda: MO.stratified_models(Q._known(spark, SF_SMALL), {"ADS": ("RF", "XGB")})
+    results, tables = search()
+    assert [(r["automation_level"], r["algorithm"]) for r in results] == [("ADS", "RF"), ("ADS", "XGB")]
+    xgb = [f for f in fits if f[0] == "XGB"]
+    assert len(xgb) == 28 and len({f[1:3] for f in xgb}) == 9 and set(tables) == {"rf_ads", "xgb_ads"}
+    assert len([f for f in fits if f[0] == "RF"]) == 4  # read back
+    before = len(fits)
+    assert search() == (results, tables) and len(fits) == before
+
+
+def test_forest_grid_has_all_points(spark):
+    df = _noisy(spark, 200)
+    mats = lambda: MO.Matrices(df, df, df, df, list("abcde"), "temporal")
+    grid = {"n_est": [2, 4, 6], "depth": [None, 2, 3], "leaf": [1, 5]}
+    res = MO.run_rf_grid("ADS", mats, ModelStore(spark, f"test-{uuid.uuid4().hex}"), grid)
+    assert [tuple(p["params"].values()) for p in res.points] == [(n, d, leaf) for n in (2, 4, 6) for d in (None, 2, 3) for leaf in (1, 5)]
+    assert all(0 <= p["best"]["f1"] <= 1 for p in res.points) and res.params in [p["params"] for p in res.points]
+    assert len(res.table) == 5 and res.metrics["model"] == "RF [ADS]"
+
+
+def test_sweep_of_a_histogram_is_the_sweep_of_the_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [("a" if i % 3 else None, float(p), int(t)) for i, (p, t) in enumerate(zip(rng.random(500).round(2), rng.random(500) < 0.4))]
+    df = spark.createDataFrame(rows + [("a", None, 1), ("a", 0.5, None)], "m string, prob double, severe int")
+    hist = M.score_histogram(df, "severe", "prob", ["m"])
+    key = lambda d: sorted(map(str, d.collect()))
+    assert key(M.sweep_histogram(hist, "prob", by=["m"])) == key(M.threshold_sweep(df, "severe", "prob", by=["m"]))
