@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Bpe
+from .bpe import Bpe, count_tokens
 from .common import pick
 
 
@@ -26,9 +26,9 @@ def token_counts(docs: DataFrame, bpe: Bpe) -> DataFrame:
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = sent.value.encoder().encode_ordinary
+        encoding = sent.value.encoder()
         for s in texts:
-            yield pd.Series([len(encode(t)) if t else 0 for t in s], dtype="int64")
+            yield pd.Series([count_tokens(encoding, t) if t else 0 for t in s], dtype="int64")
 
     return pick(docs, "doc_id", "text").select("doc_id", count("text").alias("n_tokens"))
 
