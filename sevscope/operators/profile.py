@@ -139,16 +139,18 @@ def flag_prevalence(df: DataFrame, flags: list[str], descriptions: dict[str, str
     """Per flag: overall / label=1 / label=0 prevalence in percent, one decimal.
 
     One aggregate by label holds a sum and a count per flag; the three shares come
-    from its few rows, unpivoted; sorted by overall prevalence.
+    from its few rows, unpivoted, and are rounded as columns of one row per flag (the rounding repeats
+    its argument, which must be cheap); sorted by overall prevalence.
     """
     per = df.groupBy(label).agg(*[F.sum(F.col(c).cast("double")).alias(f"__s_{c}") for c in flags],
                                 *[F.count(c).alias(f"__n_{c}") for c in flags])
 
     def share(c, of=None):
         s, n = (F.sum(x if of is None else F.when(F.col(label) == of, x)) for x in (F.col(f"__s_{c}"), F.col(f"__n_{c}")))
-        return round1(F.when(n > 0, s / n) * 100.0)
+        return F.when(n > 0, s / n) * 100.0
     row = per.agg(*[F.struct(F.lit(c).alias("feature"), F.lit(descriptions.get(c, "")).alias("description"),
                              share(c).alias("overall_pct"), share(c, 1).alias("severe_pct"),
                              share(c, 0).alias("nonsevere_pct")).alias(f"__{c}") for c in flags])
-    return (row.select(F.inline(F.array(*[F.col(f"__{c}") for c in flags])))
+    shares = row.select(F.inline(F.array(*[F.col(f"__{c}") for c in flags])))
+    return (shares.select("feature", "description", *[round1(c).alias(c) for c in ("overall_pct", "severe_pct", "nonsevere_pct")])
                .orderBy(F.desc("overall_pct"), F.asc("feature")))
