@@ -2,8 +2,8 @@
 
 Every metric is computed from counts produced by one pass over the predictions:
 confusion counts are ``count_if`` aggregates (partial aggregation, no join), the
-threshold sweep evaluates all grid points in the same pass, and ROC AUC uses the
-distributed prefix sum over distinct scores, never a global sort in one task.
+threshold sweep evaluates all grid points in the same pass, and ROC AUC counts ordered
+pairs over radix slices of the distinct scores, never a global sort in one task.
 """
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .groups import join_groups
-from .prefix import prefix_sums
+from .prefix import ordered_pairs
 
 # FIXED VALUES: threshold grid 0.20..0.80 step 0.02 and the precision floor
 THRESHOLDS = [round(0.20 + 0.02 * i, 2) for i in range(31)]
@@ -59,19 +59,13 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None,
 
     AUC = sum over distinct scores s of pos(s) * (neg(<s) + neg(s)/2) / (P * N).
     Scores are first reduced to one row per distinct value (so a heavily repeated
-    score is one row), then ``neg(<s)`` comes from the bucketed prefix sum.
+    score is one row), then pairs are counted slice by slice (``ordered_pairs``).
     NULL when a group has a single class.
     """
     by = list(by or [])
-    y = F.col(label)
-    per = (df.groupBy(*by, F.col(score).cast("double").alias("__s"))
-             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
-    ranked = prefix_sums(per, by, ["__s"], ["neg"])
-    contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
-    out = ranked.groupBy(*by).agg(F.sum(contrib).alias("__u"), F.sum("pos").alias("__p"),
-                                  F.sum("neg").alias("__n"))
-    auc = F.when((F.col("__p") > 0) & (F.col("__n") > 0),
-                 F.col("__u") / (F.col("__p") * F.col("__n")))
+    hist = score_histogram(df.withColumn("__s", F.col(score).cast("double")), label, "__s", by)
+    out = ordered_pairs(hist, by, "__s", "pos", "neg")
+    auc = F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("pairs") / (F.col("pos").cast("double") * F.col("neg")))
     if digits is not None:
         auc = F.round(auc, digits)
     return out.select(*by, auc.alias("roc_auc"))
@@ -155,12 +149,11 @@ def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None,
         return with_rates(confusion_counts(df, label, pred, by, presence), digits)
     scored = df.select(*by, label, pred, F.col(score).cast("double").alias("__s"))
     hist = confusion_counts(scored, label, pred, [*by, "__s"], presence=True)
-    ranked = prefix_sums(hist, by, ["__s"], ["__neg"])
-    total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("TP", "FP", "FN", "TN", "__pos", "__neg")]
-    u = F.sum(F.col("__pos") * (F.col("__neg_before") + F.col("__neg") / 2.0)).alias("__u")
-    out = with_rates(ranked.groupBy(*by).agg(*total, u), digits)
-    auc = F.when(both_classes(), F.col("__u") / (F.col("__pos") * F.col("__neg")))
-    out = out.withColumn("roc_auc", F.round(auc, digits) if digits is not None else auc).drop("__u")
+    kinds = ["TP", "FP", "FN", "TN"]
+    sums = ordered_pairs(hist, by, "__s", "__pos", "__neg", kinds)
+    out = with_rates(sums.select(*by, *(F.coalesce(c, F.lit(0)).alias(c) for c in [*kinds, "__pos", "__neg"]), "pairs"), digits)
+    auc = F.when(both_classes(), F.col("pairs") / (F.col("__pos").cast("double") * F.col("__neg")))
+    out = out.withColumn("roc_auc", F.round(auc, digits) if digits is not None else auc).drop("pairs")
     return out if presence else out.drop("__pos", "__neg")
 
 

@@ -1,131 +1,104 @@
-"""Distributed ordered prefix sums.
+"""Ordered selection and ordered pairs by radix slices.
 
-Several reference operators need "how much comes before this value" over a
-sorted column: exact medians (C9/F20), rank-based ROC AUC (E3) and exact
-stratified sampling (G3/G4). A window ordered over a whole group would move the
-group into one task, and a group here can be a third of the table. Instead:
+Exact medians (C9/F20) and rank-based ROC AUC (E3) need "how much comes before this value". A
+window ordered over a whole group would move the group into one task, and a group here can be a
+third of the table. Instead every double gets a long in the same order (``ordered_code``), and the
+code is read ``SLICE_BITS`` at a time as a tree: a node has at most 2^16 children, so no window
+sorts more than 65,536 rows however many rows or distinct values a group has.
 
-1. quantile bounds per group from ``percentile_approx`` (``n_buckets - 1`` values
-   per group, in a written table; they and the offsets below are broadcast only if
-   ``#groups x n_buckets`` is counted to be small);
-2. every row gets a bucket index by binary search over its group's bounds - a
-   chain of ``log2(n_buckets)`` native comparisons, all inside codegen;
-3. bucket totals (``#groups x n_buckets`` rows) -> running offsets;
-4. a window partitioned by (group, bucket) gives the within-bucket running sum,
-   so every sort task holds one bucket: ~``rows_per_bucket`` rows, or a
-   ``MAX_BUCKETS``-th of the group where that is more.
+* ``ordered_pairs`` (AUC) goes up the tree. Two values part at exactly one node, so the pairs in
+  order are the sum over all nodes of (what a child has) x (what its earlier siblings have). Each
+  level is one window and one sum; no join, no broadcast, no cap.
+* ``medians`` goes down the tree: sums per slice, the slice that holds the rank, then only its rows.
 
-Buckets are a pure function of the row's value, so equal values always share a
-bucket and the result does not depend on partitioning or task retries.
+Both are lazy plans, exact, and do not depend on partitioning or task retries.
 """
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import write_stage
 from .groups import join_groups
 
-DEFAULT_ROWS_PER_BUCKET = 1 << 20
-MAX_BUCKETS = 4096
-#: Offsets (one row per group and bucket) and bounds (one number) that may be broadcast.
-BROADCAST_ROWS = 200_000
+CODE_BITS = 64
+SLICE_BITS = 16
+#: Codes of what has no bits of its own: NULL before all numbers, NaN after them (Spark's order).
+_INFINITE = 2047 << 52
+_NULL, _NAN = -(1 << 63), _INFINITE + 1
 
 
-def _bucket_count(df: DataFrame, keys: list[str], rows_per_bucket: int) -> tuple[int, int]:
-    """Buckets per group, and groups."""
-    if keys:
-        max_n, groups = df.groupBy(*keys).count().agg(F.max("count"), F.count(F.lit(1))).first()
-    else:
-        max_n, groups = df.count(), 1
-    nb = max(1, math.ceil((max_n or 0) / rows_per_bucket))
-    if nb == 1:
-        return 1, groups
-    # round up to a power of two for the binary search, capped
-    return min(MAX_BUCKETS, 1 << (nb - 1).bit_length()), groups
+def ordered_code(value) -> Column:
+    """A long that sorts as the double ``value`` does and differs where it differs (-0.0 is 0.0).
 
+    Exponent and mantissa are read from the exact hexadecimal form ``0x1.<digits>p<exponent>``
+    (``0x0.`` below the normal numbers), so the code is native and without rounding.
+    """
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    form = F.format_string("%a", F.abs(x))
+    body = F.substring_index(form, "p", 1)
+    mantissa = F.conv(F.rpad(F.substring_index(body, ".", -1), 13, "0"), 16, 10).try_cast("long")
+    exponent = F.when(body.startswith("0x1."), F.substring_index(form, "p", -1).try_cast("long") + 1023).otherwise(F.lit(0))
+    bits = F.when(F.abs(x) == float("inf"), F.lit(_INFINITE)).otherwise(F.shiftleft(exponent, 52) + mantissa)
+    return (F.when(x.isNull(), F.lit(_NULL)).when(F.isnan(x), F.lit(_NAN))
+             .when(x < 0, -bits).otherwise(bits))
 
-def prefix_sums(df: DataFrame, keys: list[str], order_cols: list[str],
-                measures: list[str], bucket_col: str | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                accuracy: int = 100000) -> DataFrame:
-    """Add ``<m>_before`` = sum of ``m`` over rows of the same ``keys`` group that sort
-    strictly before this row by ``order_cols``.
 
-    ``bucket_col`` (default: first order column) must be numeric and ordered
-    consistently with ``order_cols``.
-    """
+def ordered_pairs(hist: DataFrame, keys: list[str], value: str, upper: str, lower: str,
+                  carry: list[str] | None = None, bits: int = SLICE_BITS) -> DataFrame:
+    """One row per ``keys`` group of ``hist`` (one row per group and distinct ``value``): the sums of
+    ``upper``, ``lower`` and ``carry``, and ``pairs``: how many (upper, lower) pairs have the lower
+    one's value strictly smaller, and half of those with equal values. NULL keys are a group."""
     keys = list(keys)
-    bucket_col = bucket_col or order_cols[0]
-    nb, groups = _bucket_count(df, keys, rows_per_bucket)
-    side = F.broadcast if groups * nb <= BROADCAST_ROWS else lambda x: x
-    if nb == 1:
-        b = df.withColumn("__b", F.lit(0))
-    else:
-        probs = [i / nb for i in range(1, nb)]
-        gk = keys or ["__g"]
-        src = df if keys else df.withColumn("__g", F.lit(0))
-        bounds = src.groupBy(*gk).agg(
-            F.percentile_approx(F.col(bucket_col).cast("double"), probs, accuracy).alias("__bounds"))
-        # written once: totals and windows must see the same bounds, and a sketch that is merged
-        # again (another order, a retried task) may give others
-        b = join_groups(src, side(write_stage(bounds, "bounds")), gk)
-        v = F.col(bucket_col).cast("double")
-        b = b.withColumn("__b", F.lit(0))
-        step = nb // 2
-        while step >= 1:
-            cand = F.col("__b") + F.lit(step)
-            # element_at is 1-based: bound i separates bucket i-1 from bucket i
-            b = b.withColumn("__b", F.when(F.element_at("__bounds", cand) < v, cand)
-                                      .otherwise(F.col("__b")))
-            step //= 2
-        b = b.drop("__bounds")
-        if not keys:
-            b = b.drop("__g")
-    bkeys = keys + ["__b"]
-    totals = b.groupBy(*bkeys).agg(*[F.sum(m).alias(f"__tot_{m}") for m in measures])
-    w_off = (Window.partitionBy(*keys).orderBy("__b")
-             .rowsBetween(Window.unboundedPreceding, -1)) if keys else \
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*bkeys, *[F.coalesce(F.sum(f"__tot_{m}").over(w_off), F.lit(0))
-                                      .alias(f"__off_{m}") for m in measures])
-    w_in = (Window.partitionBy(*bkeys).orderBy(*order_cols)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    out = b.select("*", *[F.coalesce(F.sum(m).over(w_in), F.lit(0)).alias(f"__in_{m}")
-                          for m in measures])
-    out = join_groups(out, side(offsets), bkeys)
-    out = out.select(*df.columns, *[(F.col(f"__off_{m}") + F.col(f"__in_{m}")).alias(f"{m}_before")
-                                    for m in measures])
-    return out
+    sums = [upper, lower, *(carry or [])]
+    levels = -(-CODE_BITS // bits)
+    rows = hist.select(*keys, ordered_code(value).alias("__node"), *sums,
+                       (F.col(upper).cast("double") * F.col(lower) / 2.0).alias("pairs"))
+    for level in range(levels):
+        top = level == levels - 1
+        rows = rows.withColumn("__parent", F.lit(0) if top else F.shiftright("__node", bits))
+        siblings = (Window.partitionBy(*keys, "__parent").orderBy("__node")
+                    .rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("__before", F.coalesce(F.sum(lower).over(siblings), F.lit(0)))
+        met = F.sum(F.col("pairs") + F.col(upper).cast("double") * F.col("__before")).alias("pairs")
+        rows = rows.groupBy(*keys, *([] if top else ["__parent"])).agg(*[F.sum(c).alias(c) for c in sums], met)
+        if not top:
+            rows = rows.withColumnRenamed("__parent", "__node")
+    return rows
 
 
-def exact_medians(df: DataFrame, cols: list[str],
-                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> dict[str, float | None]:
-    """Exact median of each column (NULLs skipped; mean of the two middle values for
-    even counts; all-NULL -> None). Only two rows per column reach the driver."""
-    if not cols:
-        return {}
+def medians(df: DataFrame, cols: list[str], bits: int = SLICE_BITS) -> DataFrame:
+    """(col, median) of each column with a value (NULL and NaN skipped; mean of the two middle
+    values for even counts). Values are counted once; the levels read the counts' one exchange."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("x")).select("x.col", "x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    # distinct (column, value) counts are reused by three steps: persist once
-    counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("cnt")).persist()
-    ranked = prefix_sums(counts, ["col"], ["v"], ["cnt"], rows_per_bucket=rows_per_bucket)
-    totals = counts.groupBy("col").agg(F.sum("cnt").alias("n"))
-    # 0-based middle ranks
-    k_lo = F.floor((F.col("n") - 1) / 2)
-    k_hi = F.ceil((F.col("n") - 1) / 2)
-    hit = ranked.join(F.broadcast(totals), "col")
-    covers = lambda k: (F.col("cnt_before") <= k) & (k < F.col("cnt_before") + F.col("cnt"))
-    picked = (hit.where(covers(k_lo) | covers(k_hi))
-                 .groupBy("col")
-                 .agg(F.max(F.when(covers(k_lo), F.col("v"))).alias("lo"),
-                      F.max(F.when(covers(k_hi), F.col("v"))).alias("hi"))
-                 .collect())
-    counts.unpersist()
+    counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    sums = [F.sum("cnt").alias("cnt"), F.min("v").alias("least"), F.max("v").alias("most")]
+    levels = -(-CODE_BITS // bits)
+    for level in range(levels):
+        # later levels take the chosen slices' values alone, so a code is computed once for most values
+        rows = join_groups(counts, F.broadcast(at), ["col"]).where(F.col("v").between(F.col("from"), F.col("to"))) if level else counts
+        of = ["col", "half", "rank"] if level else ["col"]
+        node = F.shiftright(ordered_code("v"), bits * (levels - 1 - level)).alias("node")
+        siblings = Window.partitionBy(*of).orderBy("node")
+        nodes = (rows.groupBy(*of, node).agg(*sums)
+                 .withColumn("before", F.coalesce(F.sum("cnt").over(siblings.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+        if not level:
+            # 0-based middle ranks
+            n = F.sum("cnt").over(Window.partitionBy("col"))
+            nodes = (nodes.withColumn("middle", F.array(F.floor((n - 1) / 2), F.floor(n / 2)))
+                     .select("*", F.posexplode("middle").alias("half", "rank")))
+        # two rows a column, so the next level's broadcast is small
+        at = (nodes.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("cnt")))
+              .select("col", "half", (F.col("rank") - F.col("before")).alias("rank"),
+                      F.col("least").alias("from"), F.col("most").alias("to")))
+    return at.groupBy("col").agg(((F.min("from") + F.max("to")) / 2.0).alias("median"))
+
+
+def exact_medians(df: DataFrame, cols: list[str], bits: int = SLICE_BITS) -> dict[str, float | None]:
+    """``medians`` as numbers (all-NULL: None): one row per column reaches the driver."""
+    if not cols:
+        return {}
     out: dict[str, float | None] = {c: None for c in cols}
-    for r in picked:
-        out[r["col"]] = (r["lo"] + r["hi"]) / 2.0
+    out |= {r["col"]: r["median"] for r in medians(df, cols, bits).collect()}
     return out

@@ -138,11 +138,12 @@ union all select 'report_month', cast(median(report_month) as double) from label
 union all select 'report_version', cast(median(report_version) as double) from labelled
 union all select 'injury_rank', cast(median(injury_rank) as double) from labelled""")
 def column_median(spark, sf_dir):
-    from ..operators.prefix import exact_medians
+    from ..operators.prefix import medians
     inc = C.incidents(fixtures.raw_reports(spark, sf_dir))
     cols = ["sv_speed_mph", "report_month", "report_version", "injury_rank"]
-    med = exact_medians(inc, cols)
-    return spark.createDataFrame([(c, med[c]) for c in cols], "column_name string, median double")
+    names = spark.createDataFrame([(c,) for c in cols], "column_name string")
+    found = medians(inc, cols).withColumnRenamed("col", "column_name")
+    return names.join(found, "column_name", "left").select("column_name", "median")
 
 
 # --- A7 ----------------------------------------------------------------------------

@@ -106,19 +106,6 @@ def test_data_dictionary_distinct_counts_with_long_values(spark):
         assert got[c] == (len(vals), len(set(vals)))
 
 
-def test_prefix_sums_with_and_without_broadcast(spark, monkeypatch):
-    """Running sums per group (NULL among them) equal plain ones with many buckets, whichever way the tables join."""
-    from sevscope.operators import prefix
-    rows = [(None if i % 3 == 0 else f"g{i % 2}", float(i * 37 % 101), i % 7) for i in range(400)]
-    df = spark.createDataFrame(rows, "g string, v double, m long")
-    want = sorted((str(g), v, m, sum(x for h, w, x in rows if h == g and w < v)) for g, v, m in rows)
-    for most in (prefix.BROADCAST_ROWS, 0):
-        monkeypatch.setattr(prefix, "BROADCAST_ROWS", most)
-        per = df.groupBy("g", "v").agg(F.sum("m").alias("m"))
-        sums = {(str(r.g), r.v): r.m_before for r in prefix.prefix_sums(per, ["g"], ["v"], ["m"], rows_per_bucket=10).collect()}
-        assert sorted((str(g), v, m, sums[str(g), v]) for g, v, m in rows) == want
-
-
 def test_own_medians_of_the_transformed_frame(spark):
     """A missing number takes the fitted median, or the transformed frame's own one."""
     from sevscope.operators.features import fit_features
