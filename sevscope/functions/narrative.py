@@ -13,6 +13,9 @@ and its ``.`` already excludes only ``\\n``, so the SQL text omits it.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +35,18 @@ REDACTION_TOKEN_PATTERN = r"\[REDACTED[^\]]*\]"   # case-insensitive
 REDACTED_PATTERN = r"REDACTED|CBI|CONFIDENTIAL"   # case-insensitive, anywhere
 MIN_NARRATIVE_LEN = 20
 
-_AV = r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b"
-
 # (flag name, pattern on lower-cased cleaned text, DOTALL?) in reference order
 NAV_PATTERNS = [
     ("nav_av_stopped",
-     _AV + r".*?"
+     r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b.*?"
      r"\b(stopped|stationary|parked|came to a stop|slowed to a stop|remained stopped|at rest)\b"
      r"|\b(stopped|stationary|parked|came to a stop|slowed to a stop|remained stopped)\b.*?"
-     + _AV, True),
+     r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b", True),
     ("nav_av_moving",
-     _AV + r".*?"
+     r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b.*?"
      r"\b(traveling|proceeding|moving|driving|was in motion|drove)\b"
      r"|\b(traveling|proceeding|moving|driving)\b.*?"
-     + _AV, True),
+     r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b", True),
     ("nav_av_turning",
      r"\b(left turn|right turn|u-turn|uturn|turning left|turning right|initiating a.{0,10}turn|executing.{0,15}turn)\b",
      False),
@@ -54,7 +55,7 @@ NAV_PATTERNS = [
     ("nav_av_reversing",
      r"\b(revers(ing|ed)|backing up|backed up|in reverse)\b", False),
     ("nav_av_struck_other",
-     _AV + r".{0,80}"
+     r"\b(waymo av|cruise av?|zoox vehicle|av|subject vehicle)\b.{0,80}"
      r"\b(struck|hit|made contact with|collided with|ran into)\b", True),
     ("nav_other_struck_av",
      r"\b(struck|hit|made contact with|collided with|ran into|rear.ended|sideswiped)\b.{0,80}"
@@ -160,6 +161,8 @@ REQUIRED_LITERALS = {
     "nav_speed_mentioned": ["mph", "speed of ", "traveling at "],
     "nav_minor_damage_lang": ["damage"],
 }
+#: Flags of the form "one before the other, however far apart".
+ORDERED_PAIRS = ("nav_av_stopped", "nav_av_moving")
 HEADER_PREFILTER = r"(?iu)standing general order|sgo"
 SUPPLEMENT_PREFILTER = r"(?iu)waymo may supplement"
 
@@ -183,21 +186,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def clean_narrative(text) -> Column:
-    """Drop header, supplement sentence, placeholders and redaction tokens; trim.
+def with_clean_narrative(df: DataFrame, text, out: str) -> DataFrame:
+    """``df`` with column ``out``: ``text`` without header, supplement sentence, placeholders and
+    redaction tokens, trimmed (D1). NULL -> empty string.
 
-    NULL -> empty string.
+    Every step is a projection of its own, because a ``when`` names its input several times: one
+    nested expression would evaluate the earlier steps again for each mention.
     """
-    t = F.coalesce(_c(text), F.lit(""))
+    t = F.col(out)
+    df = df.withColumn(out, F.coalesce(_c(text), F.lit("")))
     # the lazy header/supplement patterns rescan the text from every "under" etc.;
     # they can only match when their closing phrase occurs, so test that first
-    t = F.when(t.rlike(HEADER_PREFILTER), F.regexp_replace(t, "(?isu)" + HEADER_PATTERN, "")
-               ).otherwise(t)
-    t = F.when(t.rlike(SUPPLEMENT_PREFILTER),
-               F.regexp_replace(t, "(?isu)" + SUPPLEMENT_PATTERN, "")).otherwise(t)
-    t = F.regexp_replace(t, PLACEHOLDER_PATTERN, " ")
-    t = F.regexp_replace(t, "(?iu)" + REDACTION_TOKEN_PATTERN, " ")
-    return F.btrim(t, F.lit(WHITESPACE))
+    for needed, pattern in ((HEADER_PREFILTER, HEADER_PATTERN), (SUPPLEMENT_PREFILTER, SUPPLEMENT_PATTERN)):
+        df = df.withColumn(out, F.when(t.rlike(needed), F.regexp_replace(t, "(?isu)" + pattern, "")).otherwise(t))
+    bare = F.regexp_replace(F.regexp_replace(t, PLACEHOLDER_PATTERN, " "), "(?iu)" + REDACTION_TOKEN_PATTERN, " ")
+    return df.withColumn(out, F.btrim(bare, F.lit(WHITESPACE)))
 
 
 def is_redacted(text) -> Column:
@@ -206,16 +209,31 @@ def is_redacted(text) -> Column:
     return t.isNull() | t.rlike("(?iu)" + REDACTED_PATTERN)
 
 
+def ordered_parts(pattern: str) -> list[tuple[str, str]]:
+    """(first, second) of each alternative of a pattern ``A.*?B|C.*?A``."""
+    subject, middle, last = pattern.split(".*?")
+    later, earlier = middle.split(r"\b|\b")
+    return [(subject, later + r"\b"), (r"\b" + earlier, last)]
+
+
+def follows(text: Column, first: str, second: str) -> Column:
+    """``first.*?second`` (over line breaks) matches, in time linear in the text: the first match of
+    ``first`` also ends first, so ``second`` is looked for once, in what lies behind it. The ``x`` stands
+    for the match's last letter, so that word borders there are as in the whole text."""
+    rest = F.get(F.split(text, first, 2), 1)
+    return F.coalesce(F.concat(F.lit("x"), rest).rlike(second), F.lit(False))
+
+
 def flag_expr(text: Column, name: str, pattern: str, dotall: bool, prefilter: bool = True) -> Column:
-    """``rlike`` of one flag pattern on lower-cased text, behind its literal prefilter."""
-    hit = text.rlike(java_pattern(pattern, dotall))
+    """One flag pattern on lower-cased text: ``rlike`` behind its literal prefilter, ordered pairs in
+    linear time. ``prefilter=False``: the plain pattern."""
     if not prefilter:
-        return hit
-    lits = REQUIRED_LITERALS[name]
-    any_lit = text.contains(lits[0])
-    for lit in lits[1:]:
-        any_lit = any_lit | text.contains(lit)
-    return any_lit & hit
+        return text.rlike(java_pattern(pattern, dotall))
+    if name in ORDERED_PAIRS:
+        hit = reduce(or_, (follows(text, a, b) for a, b in ordered_parts(pattern)))
+    else:
+        hit = text.rlike(java_pattern(pattern, dotall))
+    return reduce(or_, (text.contains(lit) for lit in REQUIRED_LITERALS[name])) & hit
 
 
 def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative",
@@ -228,10 +246,7 @@ def attach_narrative_flags(df: DataFrame, narrative_col: str = "narrative",
     cleaning) gets 0 in every column (D3).
     """
     raw = F.col(narrative_col)
-    staged = df.withColumns({
-        "__nav_clean": clean_narrative(raw),
-        "__nav_redacted": is_redacted(raw),
-    })
+    staged = with_clean_narrative(df.withColumn("__nav_redacted", is_redacted(raw)), raw, "__nav_clean")
     staged = staged.withColumns({
         "__nav_ok": (~F.col("__nav_redacted")) & (F.length("__nav_clean") >= MIN_NARRATIVE_LEN),
         "__nav_t": F.lower(F.col("__nav_clean")),

@@ -53,8 +53,8 @@ select report_id, {_sql_clean('narrative')} as clean_text,
 from raw_reports""")
 def narrative_clean(spark, sf_dir):
     raw = fixtures.raw_reports(spark, sf_dir)
-    return raw.select("report_id", N.clean_narrative("narrative").alias("clean_text"),
-                      N.is_redacted("narrative").cast("int").alias("redacted"))
+    clean = N.with_clean_narrative(raw.select("report_id", "narrative"), "narrative", "clean_text")
+    return clean.select("report_id", "clean_text", N.is_redacted("narrative").cast("int").alias("redacted"))
 
 
 @register("narrative_redacted", chain() + f"""

@@ -94,8 +94,41 @@ def test_redaction_and_length_guard(spark):
 def test_clean_narrative(spark):
     df = spark.createDataFrame([("Under the SGO rules we report.\nThe AV [XXX] stopped [redacted x] ",),
                                 (None,)], "t string")
-    got = [r[0] for r in df.select(N.clean_narrative("t")).collect()]
-    assert got == ["The AV   stopped", ""]
+    clean = N.with_clean_narrative(df, "t", "c")
+    assert [r.c for r in clean.collect()] == ["The AV   stopped", ""]
+    # the header's removal stands once in the plan, however often the next step names the text
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(?isu)" + N.HEADER_PATTERN.replace("\n", "\\n")) == 1
+
+
+def test_ordered_pairs_equal_the_patterns(spark):
+    """The linear form of "A before B" gives the plain pattern's flags: overlaps, borders, line breaks, other letters."""
+    rng = __import__("random").Random(11)
+    words = ["waymo av", "cruise a", "cruise av", "cruise", "zoox vehicle", "av", "subject vehicle", "stopped", "stationary", "parked",
+             "came to a stop", "came to a stopped", "slowed to a stop", "remained stopped", "at rest", "traveling", "proceeding", "moving",
+             "driving", "was in motion", "drove", "a", "the", "éav", "avé", "stop", "x"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", " ", "", "-", "\n", "\r\n", ". "]) for _ in range(rng.randint(1, 7))) for _ in range(6000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name, pattern, dotall in N.NAV_PATTERNS:
+        if name in N.ORDERED_PAIRS:
+            assert all(pattern.count(part) for pair in N.ordered_parts(pattern) for part in pair)
+            got = [r.f for r in df.select(N.flag_expr(F_col("t"), name, pattern, dotall).alias("f")).collect()]
+            assert got == [bool(re.search(pattern, t, re.S)) for t in texts] and any(got) and not all(got)
+
+
+def test_ordered_pairs_are_linear(spark):
+    """A megabyte of the one without the other is read in under a second."""
+    import time
+
+    from pyspark.sql import functions as F
+    flags = [N.flag_expr(F.col("t"), n, p, d).alias(n) for n, p, d in N.NAV_PATTERNS if n in N.ORDERED_PAIRS]
+    # the literal in front passes the prefilter and is no word of the pattern
+    run = lambda n: (spark.range(1).select(F.concat(F.lit("stopper unmoving "), F.repeat(F.lit("the av "), F.col("id").cast("int") + n)).alias("t"))
+                     .select(*flags).first())
+    run(10)
+    start = time.time()
+    assert tuple(run(150_000)) == (False, False)
+    assert time.time() - start < 1
 
 
 def test_required_literals_are_necessary():
