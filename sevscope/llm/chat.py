@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import pick
 from .template import compile_template
@@ -114,7 +115,7 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
         for conv, messages in _conversations(batches):
             for n, (text, loss) in enumerate(_turns(draw(messages))):
                 yield pa.RecordBatch.from_pylist([{"conv_id": conv, "nth": n, "text": text, "loss_text": loss}], schema=schema)
-    schema = pa.schema([("conv_id", pa.int32() if kind == "int" else pa.int64() if kind == "bigint" else pa.string()),
+    schema = pa.schema([("conv_id", to_arrow_type(rows.schema["conv_id"].dataType)),
                         ("nth", pa.int64()), ("text", pa.string()), ("loss_text", pa.string())])
     return _by_conversation(rows).mapInArrow(write, f"conv_id {kind}, nth long, text string, loss_text string")
 
@@ -143,6 +144,6 @@ def digest(rows: DataFrame, template: str = TEMPLATE) -> DataFrame:
 
     def batch(out):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["conv_id", *columns])
-    types = [pa.int32() if kind == "int" else pa.int64() if kind == "bigint" else pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    types = [to_arrow_type(rows.schema["conv_id"].dataType), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     return _by_conversation(rows).mapInArrow(
         read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

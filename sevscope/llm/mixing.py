@@ -32,7 +32,7 @@ from .common import n_words
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = "mix-1"
-#: A power of two; a draw has 52 bits.
+#: A draw has 12 bits.
 SLICES = 4096
 BROADCAST = 100_000
 

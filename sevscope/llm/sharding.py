@@ -7,9 +7,11 @@ the candidates close in on the cell in which a splitter lies until an edge of it
 to the splitter's share of the bytes. Then the rows are exchanged once, by part.
 
 A cell that has shrunk to one value (a hot text) goes on with the next column of the key, so a
-group of copies of any size is split. A round sends ``PROBES`` rows or so to the driver.
+group of copies of any size is split. A round sends ``PROBES`` rows or so to the driver, or
+``SLOTS`` for each splitter still sought where that is more.
 
-Each shard consists of several parts, so that a shard is not one task; a row's slot is the number
+Each shard consists of several parts, so that a shard is not one task; their number grows with the
+bytes (``PART_BYTES``: some 100,000 parts for 100 TB). A row's slot is the number
 of rows in the shard's earlier parts plus its rank in its own part. Law ``bytes``: shards' sizes
 are as near equal as the largest row at a boundary and ``TOLERANCE`` allow.
 
@@ -32,10 +34,12 @@ KEY = ("k_text", "k_id", "k_row")
 #: Keys are below this, so that one past the last fits a long.
 END = 1 << 62
 PROBES = 4096
+#: Least slots of a cell, so that every round narrows many splitters' cells alike.
+SLOTS = 8
 #: Of a part's share of the bytes.
 TOLERANCE = 0.002
-PART_BYTES = 256 << 20
-MIN_PARTS, MAX_PARTS = 4, 256  # of a shard
+PART_BYTES = 1 << 30
+MIN_PARTS = 4  # of a shard
 
 
 class Cell:
@@ -91,7 +95,7 @@ def splitters(rows: DataFrame, parts: int, total: int) -> list[tuple[int, ...]]:
     while open_:
         cells = list({c.id(): c for c in open_.values()}.values())
         at = {c.id(): i for i, c in enumerate(cells)}
-        counts = _count(rows, cells, max(2, PROBES // len(cells)))
+        counts = _count(rows, cells, max(SLOTS, PROBES // len(cells)))
         by_cell: dict[int, list] = {}
         for (i, slot), x in sorted(counts.items()):
             by_cell.setdefault(i, []).append(x)
@@ -128,10 +132,10 @@ def part_of(keys: list[np.ndarray], splits: list[tuple[int, ...]]) -> np.ndarray
     return out
 
 
-def shard(rows: DataFrame, n_shards: int = 16) -> DataFrame:
+def shard(rows: DataFrame, n_shards: int = 16, part_bytes: int = PART_BYTES) -> DataFrame:
     """``rows`` (from ``keyed``) with shard and slot: law ``bytes``."""
     total = rows.agg(F.sum("size")).first()[0] or 0
-    per_shard = min(MAX_PARTS, max(MIN_PARTS, -(-total // (n_shards * PART_BYTES))))
+    per_shard = max(MIN_PARTS, -(-total // (n_shards * part_bytes)))
     splits = sorted(splitters(rows, n_shards * per_shard, total)) if total else []
 
     @F.pandas_udf("int")
@@ -139,14 +143,14 @@ def shard(rows: DataFrame, n_shards: int = 16) -> DataFrame:
         return pd.Series(part_of([x.to_numpy() for x in (a, b, c)], splits).astype("int32"))
 
     placed = rows.withColumn("part", part(*KEY) if splits else F.lit(0))
-    counts = dict(placed.groupBy("part").count().collect())  # a row per part
-    ahead, at = [], 0
-    for p in range(n_shards * per_shard):
-        at = 0 if p % per_shard == 0 else at
-        ahead.append(at)
-        at += counts.get(p, 0)
-    slot = F.get(F.array(*(F.lit(x).cast("long") for x in ahead)), F.col("part")) + F.row_number().over(Window.partitionBy("part").orderBy(*KEY)) - 1
-    return placed.withColumn("slot", slot.cast("long")).withColumn("shard", F.floor(F.col("part") / per_shard).cast("int"))
+    in_shard = F.floor(F.col("part") / per_shard).cast("int")
+    # a row per part: small beside the rows
+    ahead = (placed.groupBy("part").count().withColumn("shard", in_shard)
+             .select(F.col("part").alias("of_part"), "shard", (F.sum("count").over(Window.partitionBy("shard").orderBy("part")) - F.col("count")).alias("ahead")))
+    at = F.row_number().over(Window.partitionBy("part").orderBy(*KEY)) - 1
+    ranked = placed.withColumn("slot", at.cast("long"))
+    return (ranked.join(F.broadcast(ahead), F.col("part") == F.col("of_part"))
+            .withColumn("slot", F.col("ahead") + F.col("slot")).drop("of_part", "ahead"))
 
 
 def report(docs: DataFrame, n_shards: int = 16) -> DataFrame:

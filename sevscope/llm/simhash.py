@@ -25,6 +25,7 @@ fingerprint and stay rows of their own; rows without ``doc_id`` get their compon
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,8 +175,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
-    """``docs`` with one document of each component: the row of the smallest doc_id (one of them,
-    if it repeats), or one row of a component without any doc_id."""
+    """``docs`` with one document of each component: the row of the smallest doc_id, or one row of a component without any doc_id; of rows alike in doc_id and
+    text the one whose other columns come first in order."""
     prints = write_stage(fingerprints(docs, shingle), "prints")
     # neither column of the key is NULL, so join and aggregate share one exchange of the texts
     key = ["__id", "__hash"]
@@ -184,4 +185,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> D
         name(F.col("keeper.doc_id")).alias("__id"), F.col("keeper.text_hash").alias("__hash")).distinct()
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("__doc"), name(docs["doc_id"]).alias("__id"),
                        F.xxhash64(docs["text"]).alias("__hash"))
-    return rows.join(keepers, key, "left_semi").groupBy(*key).agg(F.first("__doc").alias("__doc")).select("__doc.*")
+    # maps and variants have no order of their own
+    def sortable(field):
+        value = F.col("__doc").getField(field.name)
+        return F.to_json(F.struct(value)) if re.search("map<|variant", field.dataType.simpleString()) else value
+
+    order = F.struct(F.lit(0), *(sortable(f) for f in docs.schema if f.name not in ("doc_id", "text")))
+    return rows.join(keepers, key, "left_semi").groupBy(*key).agg(F.min_by("__doc", order).alias("__doc")).select("__doc.*")

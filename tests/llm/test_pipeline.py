@@ -37,3 +37,30 @@ def test_stages(spark):
 
 def test_run_gives_the_same(spark):
     assert P.run(spark, SF).count() > 0
+
+
+def test_run_on_odd_tables(spark, tmp_path):
+    """NULLs in every column, repeated rows, a huge text, clashing columns, empty tables."""
+    docs, items = P.table(spark, SF, "documents"), P.table(spark, SF, "benchmark")
+    names = ("size", "part", "slot", "words", "h", "fp", "slice", "__id", "ahead")
+    few = docs.orderBy("doc_id").limit(60).withColumns({c: F.col("doc_id").cast("string") for c in names})
+    nothing = few.limit(1).select(*(F.lit(None).cast(t).alias(c) for c, t in few.dtypes))
+    huge = few.limit(1).withColumns({"doc_id": F.lit(10**6).cast(dict(few.dtypes)["doc_id"]), "text": F.repeat(F.lit("the one and only long text of many words "), 20_000)})
+    nameless = few.withColumn("doc_id", F.lit(None).cast(dict(few.dtypes)["doc_id"])).withColumn("h", F.lit("copy"))
+    odd = few.unionByName(few).unionByName(nothing).unionByName(huge).unionByName(nameless)
+
+    def run(name, d, b):
+        for table, rows in (("documents", d), ("benchmark", b)):
+            rows.write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+        return P.run(spark, f"{tmp_path}/{name}")
+
+    plain = run("plain", few, items).collect()
+    out = run("odd", odd, items)
+    assert sorted(out.columns) == sorted({*few.columns, "shard", "slot"})
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in plain} and plain
+    assert all(r.h == r.size == r["__id"] == str(r.doc_id) for r in rows)
+    assert max(Counter(r.doc_id for r in rows).values()) <= 3
+    none = run("none", odd.where("false"), items)
+    assert none.count() == 0 and none.columns == out.columns
+    assert {r.doc_id for r in rows} <= {r.doc_id for r in run("no-items", odd, items.where("false")).collect()}

@@ -100,6 +100,14 @@ def test_rows_of_one_id_with_other_texts_stay(spark):
     assert sorted(r.text for r in S.keep_one(df).collect()) == ["a b c d e f g", "p q r s t u v"]
 
 
+def test_choice_among_rows_alike(spark):
+    """Rows alike in doc_id and text: the smallest other columns, NULL first, whatever the row order."""
+    rows_ = [(1, "a b c d", x, {"k": y}) for x, y in ((2, 1), (1, 9), (1, 3), (5, 0))] + [(2, "p q r s t", 4, None), (2, "p q r s t", None, {"z": 1})]
+    for own in (rows_, rows_[::-1]):
+        df = spark.createDataFrame(own, "doc_id long, text string, other int, m map<string,int>").repartition(3)
+        assert sorted((r[0], r[2], r[3]["k"] if r[3] and "k" in r[3] else None) for r in S.keep_one(df).collect()) == [(1, 1, 3), (2, None, None)]
+
+
 def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = dict(df.select("doc_id", "text").collect())

@@ -98,6 +98,14 @@ def test_sharding(spark):
         assert all(abs(sum(x.size for x in by.get(s, [])) - total / 16) <= 0.01 * total / 16 + 2 * largest for s in range(16))
         want = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in table.collect())
         assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    # more parts than probes have room for: the same law, so the same shards but for rows at borders
+    kept = sharding.keyed(more, more["doc_id"])
+    fine = sharding.shard(kept, 16, part_bytes=200).collect()
+    assert len(fine) == more.count() and max(r.part for r in fine) > 50 * 16
+    for s in range(16):
+        own = [r for r in fine if r.shard == s]
+        assert sorted(r.slot for r in own) == list(range(len(own))) and all(r.part // (max(x.part for x in fine) // 16 + 1) == s for r in own)
+        assert [r.slot for r in sorted(own, key=lambda r: (r.k_text, r.k_id, r.k_row))] == list(range(len(own)))
     placed = sharding.place(d)
     assert set(placed.columns) == set(d.columns) and placed.count() == d.count()
     assert sharding.report(d.where("false")).count() == 0
@@ -200,6 +208,12 @@ def test_chat(spark):
         pieces = chat.format_conversations(df.where(F.col("conv_id").eqNullSafe(F.lit(conv)))).orderBy("nth").collect()
         assert "".join(p.text for p in pieces) == whole
     assert chat.digest(df.where("false")).count() == 0
+    for kind in ("smallint", "decimal(20,0)", "string"):
+        typed = df.withColumn("conv_id", F.col("conv_id").cast(kind))
+        again = chat.digest(typed)
+        assert dict(again.dtypes)["conv_id"] == kind
+        assert {(r.conv_id and int(r.conv_id), r.turns_sha256) for r in again.collect()} == {(c, r.turns_sha256) for c, r in got.items()}
+        assert chat.format_conversations(typed).count() == chat.format_conversations(df).count()
 
 
 def test_chat_of_the_whole_conversation(spark):
