@@ -2,6 +2,11 @@
 
 Each stage is one operator over all documents that the stage before it kept, and is written
 before the next one reads it. All but the last return the columns of ``documents``.
+
+Defined results: documents without text fail the quality rules; repeated rows and rows without
+doc_id are documents like others, so one of each group of copies stays; a NULL source is a source;
+further columns of ``documents`` pass through (``shard`` and ``slot`` are replaced by the last
+stage); without documents the result has no rows, without benchmark items none is left out for one.
 """
 from __future__ import annotations
 
