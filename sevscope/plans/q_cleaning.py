@@ -232,6 +232,19 @@ def csv_extracts(spark, sf_dir):
     return X.read_extracts(spark, ex).select(*_CSV_COLS)
 
 
+# --- A1: records with quoted newlines, each file read by many tasks ------------------
+_QUOTED = """concat('line "', report_id, '"', chr(10), coalesce(narrative, ''), chr(10), chr(10), ',"')"""
+
+
+@register("csv_split_records", chain() + f"select report_id, report_version, {_QUOTED} as note from raw_reports")
+def csv_split_records(spark, sf_dir):
+    """Write the reports with a field of newlines, commas and quotes to CSV files, and read them split by split."""
+    path = _scratch(spark, "quoted")
+    (fixtures.raw_reports(spark, sf_dir).select("report_id", "report_version", F.expr(_QUOTED).alias("note"))
+     .write.option("header", True).option("escape", '"').csv(path))
+    return X.apply_declared_types(X.read_csv_text(spark, path, split=True), S.NUMERIC_RAW)
+
+
 # --- A5 / A8: partitioned cleaned table, pruned reload ------------------------------
 @register("partitioned_reload", chain() + """
 select era, automation_level, count(*) as n, cast(sum(severe) as bigint) as n_severe

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from . import records as R
 
 
 @dataclass(frozen=True)
@@ -24,28 +25,45 @@ class Extract:
     encoding: str
     automation_level: str
     era: str
-    # quoted fields may hold newlines; such a file is read whole by one task.
-    # False for extracts known to be newline-free gives splittable reads.
+    # quoted fields may hold newlines; False for extracts known to be newline-free
+    # saves the search for the records' ends in files of several splits.
     multi_line: bool = True
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes`` as a number."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file at ``path``, from the listing alone."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
 def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8",
-                  multi_line: bool = True) -> DataFrame:
+                  multi_line: bool = True, split: bool | None = None) -> DataFrame:
     """All columns as strings; quoted fields may contain newlines (A1).
 
-    ``multiLine`` parsing cannot split a file, so each file is one scan task; large
-    newline-free extracts should pass ``multi_line=False``. Either way the scan runs
-    once: the cleaning job's stage table (parquet) is what later steps read.
+    Spark's ``multiLine`` parser takes a file in one task. With ``split``, many tasks read each file
+    (``records.record_texts``) with the same rows; unset, files larger than one input split are so read.
+    Encodings in which quotes and newlines are not single ASCII bytes stay with the ``multiLine`` parser.
     """
-    return (spark.read
-            .option("header", True)
-            .option("encoding", encoding)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .option("inferSchema", False)
-            .option("nullValue", None)
-            .option("emptyValue", "")
-            .csv(path))
+    whole = (spark.read
+             .option("header", True)
+             .option("encoding", encoding)
+             .option("multiLine", multi_line)
+             .option("escape", '"')
+             .option("inferSchema", False)
+             .option("nullValue", None)
+             .option("emptyValue", "")
+             .csv(path))
+    splittable = multi_line and encoding.lower() in R.SPLIT_ENCODINGS and bool(whole.columns)
+    if split is None:
+        split = splittable and largest_file(spark, path) > split_bytes(spark)
+    if not (split and splittable):
+        return whole
+    return R.parse_records(R.record_texts(spark, path, encoding), whole.columns)
 
 
 def named(col: str) -> Column:

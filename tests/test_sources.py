@@ -1,8 +1,12 @@
 """CSV extracts: encodings, embedded newlines, missing tokens, harmonisation, union (A1-A4, B1-B2)."""
-import os
+import random
+import time
+
+import pytest
 
 from sevscope import schema as S
 from sevscope.sources import extracts as X
+from sevscope.sources import records as R
 
 
 def _write(path, text, enc):
@@ -46,6 +50,84 @@ def test_undeclared_columns_are_numbers_if_all_values_are(spark, tmp_path):
     assert dict(X.read_extracts(spark, ex, infer=False).dtypes)["Mileage"] == "string"
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 600 bytes, so records cross several of them."""
+    keys = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.mark.parametrize("seed, newline, encoding", [(1, "\n", "utf-8"), (2, "\r\n", "utf-8"), (3, "\n", "latin-1"), (4, "\n", "utf-8")])
+def test_split_records_match_the_whole_file_reader(spark, small_splits, tmp_path, seed, newline, encoding):
+    rng = random.Random(seed)
+    pieces = ["a", "b", " ", ",", '"', "\n", "\n\n", "é", 'x"y', '","', "\r\n"]
+    lines = ["k,first,second"] if newline != "\n" or seed == 1 else ['k,"fi""\nrst",second']
+    for i in range(50):
+        row = [str(i)]
+        for _ in range(2):
+            kind = rng.randrange(6)
+            body = "".join(rng.choice(pieces) for _ in range(rng.randrange(900 if kind == 0 else 50)))
+            bare = "".join(c for c in body if c not in ",\r\n").lstrip('"')
+            row.append({1: bare, 2: "", 3: '""'}.get(kind, '"' + body.replace('"', '""') + '"'))
+        lines.append(",".join(row))
+        if rng.random() < 0.1:
+            lines.append("")
+    path = tmp_path / "extract.csv"
+    _write(path, newline.join(lines) + (newline if seed % 2 else ""), encoding)
+    name = {"utf-8": "UTF-8", "latin-1": "ISO-8859-1"}[encoding]
+    assert spark.read.option("lineSep", "\n").text(str(path)).rdd.getNumPartitions() > 10
+    whole = X.read_csv_text(spark, str(path), name, split=False)
+    split = X.read_csv_text(spark, str(path), name)             # by its size
+    assert split.columns == whole.columns and whole.count() == 50
+    assert _rows(split) == _rows(whole)
+
+
+def test_split_records_of_odd_files(spark, small_splits, tmp_path):
+    """A header longer than a split, blank lines before it, a header alone, several files, a quote that never closes."""
+    wide = "k," + ",".join(f"column_{i}" for i in range(40))
+    files = {"a": "\n\n" + wide + "\n1," + "x" * 700 + '\n2,"y\n\n' + "z\n" * 200 + '"\n', "b": wide + "\n", "c": wide + '\n3,"open\n' + "w\n" * 300 + "end"}
+    for name, text in files.items():
+        _write(tmp_path / f"{name}.csv", text, "utf-8")
+    got = X.read_csv_text(spark, str(tmp_path), split=True)
+    rows = {r["k"]: r["column_0"] for r in got.collect()}
+    assert got.columns == wide.split(",") and len(rows) == 3
+    assert rows["1"] == "x" * 700 and rows["2"] == "y\n\n" + "z\n" * 200 and rows["3"].startswith("open\nw\n") and rows["3"].endswith("w\nend")
+
+
+def test_start_of_splits_by_plain_composition(spark):
+    """Windows over split functions against a plain walk."""
+    rng = random.Random(7)
+    rows = [(f"f{f}", b * 100, rng.randrange(2), rng.randrange(2), rng.random() < 0.6, rng.random() < 0.2, False)
+            for f in range(5) for b in range(60)]
+    want = {}
+    for f in range(5):
+        inside, owner, filled = 0, None, False
+        for file, block, out, within, closes, blank, _ in (r for r in rows if r[0] == f"f{f}"):
+            want[file, block] = (inside, owner, not filled and not blank)
+            end = within if inside else out
+            if end and (not inside or closes):
+                owner = block
+            inside, filled = end, filled or not blank
+    got = R.split_starts(spark.createDataFrame(rows, R._ENDS)).collect()
+    assert {(r.file, r.block): (r.inside, r.owner, r.header) for r in got} == want
+
+
+def test_line_ends_in_linear_time():
+    line = b'"' + b'""' * 500_000 + b"x," * 500_000
+    start = time.monotonic()
+    assert R._ends_inside(line, 0) == 1 and R._ends_inside(line + b'"', 0) == 0 and R._ends_inside(b'a"b"' * 500_000, 0) == 0
+    assert time.monotonic() - start < 2
+
+
 def test_harmonise_clash_merges(spark):
     df = spark.createDataFrame([(None, "old"), ("new", "old2")], "`VIN Decoded` string, `VIN - Unknown` string")
     out = X.harmonise(df, S.ARCHIVED_RENAME).collect()
