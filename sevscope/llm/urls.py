@@ -31,10 +31,22 @@ from .common import pick
 
 #: (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-#: Words that make a page an example of the blocked class.
-SEEDS = ("adult", "bet", "betting", "casino", "cheap", "gambling", "loan", "loans", "pharmacy", "pills", "poker", "porn", "replica", "sex", "viagra", "xxx")
+#: Words that make a page an example of the blocked class, by kind of site.
+CATEGORIES = {
+    "adult": ("adult", "escort", "escorts", "nude", "porn", "sex", "xxx"),
+    "advertising": ("ads", "adserver", "advert", "advertising", "banner", "clickbait", "popup", "sponsored"),
+    "counterfeit": ("cheap", "counterfeit", "knockoff", "replica"),
+    "gambling": ("bet", "betting", "casino", "gambling", "jackpot", "lottery", "poker", "roulette", "slots"),
+    "loans": ("loan", "loans", "payday"),
+    "malware": ("keygen", "malware", "phishing", "scam", "warez"),
+    "pharmacy": ("pharmacy", "pills", "viagra"),
+    "spam": ("spam", "spammer"),
+}
+SEEDS = tuple(w for kind in CATEGORIES.values() for w in kind)
 #: Their forms in the corpus's languages (English, German, French, Spanish) besides a plural in -s.
 FORMS = {
+    "advertising": ("werbung", "publicité", "publicidad"),
+    "lottery": ("lotteries", "lotterie", "loterie", "lotería", "loteria"),
     "adult": ("adulte", "adultes", "adulto", "adultos", "adulta", "adultas", "erwachsene"),
     "bet": ("wette", "wetten", "sportwetten", "apuesta", "apuestas"),
     "casino": ("kasino", "kasinos"),
@@ -104,7 +116,7 @@ def split_label(label: str, counts: dict[str, int], total: int, longest: int = L
 
 def unigrams(pages: DataFrame) -> DataFrame:
     """(word, n): words of all pages' texts, tags left out."""
-    text = F.regexp_replace(F.coalesce(pages["html"], F.lit("")), "<[^>]*>", " ")
+    text = F.regexp_replace(F.coalesce(pages["html"], F.lit("")), "<[^<>]*>", " ")
     return (pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0))).alias("word"))
             .where(F.length("word").between(2, LABEL)).groupBy("word").agg(F.count("*").alias("n")))
 
@@ -131,33 +143,41 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
             .select("host", F.flatten(F.transform("w", lambda x: x["words"])).alias("host_words")))
 
 
-def judge(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, words, score (log odds of the blocked class)."""
-    urls = pick(pages, "page_id", "url").select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    hosts = write_stage(segmented(urls.select("host").distinct(), write_stage(unigrams(pick(pages, "html")), "unigrams")), "host-words")
-    named = hosts.withColumnRenamed("host", "of")
-    rows = write_stage(urls.join(named, F.col("host") == F.col("of"), "left").select(
-        "page_id", "host", "path", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), tokens(F.col("path"))).alias("words")), "url-words")
+def bucket(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(BUCKETS - 1))
 
-    bucket = lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))
-    blocked = F.arrays_overlap("words", F.array(*(F.lit(s) for s in seed_words(seeds))))
+
+def fitted(rows: DataFrame, blocked: Column) -> tuple[Column, bool]:
+    """Log odds of the blocked class for ``words``, learned from all rows, and whether any row is of that class."""
     counts = (rows.select(blocked.alias("blocked"), F.explode("words").alias("w")).groupBy(bucket(F.col("w")).alias("bucket"), "blocked").count())
     table = np.zeros((2, BUCKETS))
     for r in counts.collect():  # two rows a bucket at most
         table[int(r["blocked"]), r["bucket"]] += r["count"]
     pages_of = dict(rows.groupBy(blocked.alias("blocked")).count().collect())
-    some = bool(pages_of.get(True))
     used = SMOOTH * max(1, int((table.sum(0) > 0).sum()))  # buckets that any word fell into
     odds = np.log((table[1] + SMOOTH) / (table[1].sum() + used)) - np.log((table[0] + SMOOTH) / (table[0].sum() + used))
     prior = math.log((pages_of.get(True, 0) + SMOOTH) / (pages_of.get(False, 0) + SMOOTH))
-    sent = pages.sparkSession.sparkContext.broadcast(odds)
+    sent = rows.sparkSession.sparkContext.broadcast(odds)
 
     @F.pandas_udf("double")
     def total(buckets: pd.Series) -> pd.Series:
         return pd.Series([prior + float(sent.value[np.asarray(b, np.int64)].sum()) for b in buckets])
 
+    return total(F.transform("words", bucket)), bool(pages_of.get(True))
+
+
+def judge(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict, words, score (log odds of the blocked class)."""
+    urls = pick(pages, "page_id", "url").select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    hosts = write_stage(segmented(urls.select("host").distinct(), write_stage(unigrams(pick(pages, "html")), "unigrams")), "host-words")
+    named = hosts.withColumnRenamed("host", "of")
+    rows = write_stage(urls.join(named, F.col("host") == F.col("of"), "left").select(
+        "page_id", "host", "path", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), tokens(F.col("path"))).alias("words")), "url-words")
+
+    seeded = F.arrays_overlap("words", F.array(*(F.lit(s) for s in seed_words(seeds))))
+    score, some = fitted(rows, seeded)
     r, v = rule(F.col("host"), F.col("path"), rules)
-    scored = rows.withColumn("score", total(F.transform("words", bucket)))
+    scored = rows.withColumn("score", score)
     method = F.when((F.col("score") > 0) & F.lit(some) & (F.size("words") > 0), "block").otherwise("allow")
     return scored.select("page_id", "host", "path", r.alias("rule"), F.coalesce(v, method).alias("verdict"), F.array_join("words", " ").alias("words"), "score")
 

@@ -252,6 +252,17 @@ def test_url_seed_forms(spark):
     assert [by[i] for i in range(len(us + clean))] == ["block"] * len(us) + ["allow"] * len(clean)
 
 
+def test_urls_block_host_families_by_the_method(spark):
+    """Hand-labelled host families outside the listed rules, among plain hosts and texts that know their words."""
+    bad = ("spam-farm.example.org", "ads-track.example.org", "free-bets.example.org", "bestcasinoslots.example.net", "m.cheappills.example.org")
+    good = ("riverhouse.example.org", "garden-club.example.net", "www.trackandfield.example.org", "freemusic.example.org")
+    words = "spam farm ads track free bets best casino slots cheap pills river house garden club and field music"
+    rows = [(i, f"https://{h}/en/{i}", f"<p {'<' * 50}>{words}</p>") for i, h in enumerate((bad + good + good) * 20)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    verdict = {h: {r.verdict for r in got if r.host == h} for h in bad + good}
+    assert all(verdict[h] == {"block"} for h in bad) and all(verdict[h] == {"allow"} for h in good), verdict
+
+
 def test_urls(spark):
     def judge(u):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
