@@ -79,7 +79,7 @@ def rule(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits and its verdict, both NULL if none does."""
     longest = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1:]))
     fits = [(v, host_ + path_, ((h == host_) | h.endswith("." + host_)) & p.startswith(path_)) for v, host_, path_ in longest]
-    pick_ = lambda k: F.coalesce(*(F.when(f[2], F.lit(f[k])) for f in fits))
+    pick_ = lambda k: F.coalesce(*(F.when(f[2], F.lit(f[k])) for f in fits), F.lit(None).cast("string"))
     return pick_(1), pick_(0)
 
 
