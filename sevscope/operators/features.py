@@ -111,13 +111,31 @@ class FeatureSpec:
                         *[f"__oh_{c}" for c in self.categorical])
 
 
+#: Values that are one-hot encoded at most, over all columns: the driver holds them and a coefficient each.
+MAX_LEVELS = 200_000
+
+
+def check_levels(df: DataFrame, cols: dict[str, str], most: int | None = None) -> None:
+    """Raise where ``cols`` (column -> name for the message) have more distinct values than the driver should hold.
+
+    Distinct values are counted on the executors, one row per column comes back; nothing is truncated.
+    """
+    most = MAX_LEVELS if most is None else most
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(name).alias("name"), F.col(c).alias("value")) for c, name in cols.items()])))
+    sizes = dict(pairs.distinct().groupBy("name").count().collect())
+    if sum(sizes.values()) > most:
+        wide = ", ".join(f"{c} ({n})" for c, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])))
+        raise ValueError(f"categorical features have more than {most} values in all: {wide}; group the rare ones or leave the column out")
+
+
 def fit_features(train: DataFrame, features: list[str], scale_numeric: bool = True,
                  output: str = "features") -> FeatureSpec:
     """Fit medians / vocabularies / standardisation on ``train`` (H1, H2, H4).
 
     Numeric vs categorical follows the declared column types. One-hot keeps every
     seen level (``dropLast`` only drops the "unseen" slot), so an unseen or new
-    level encodes as all zeros, like re-indexing dummies to the train columns.
+    level encodes as all zeros, like re-indexing dummies to the train columns. More than
+    ``MAX_LEVELS`` values in all raise a ValueError.
     """
     types = {f.name: f.dataType for f in train.schema.fields}
     numeric = [c for c in features if S.is_numeric(types[c])]
@@ -133,6 +151,7 @@ def fit_features(train: DataFrame, features: list[str], scale_numeric: bool = Tr
     encoder = None
     names = list(numeric)
     if categorical:
+        check_levels(filled, {f"__f_{c}": c for c in categorical})
         stages = [StringIndexer(inputCols=[f"__f_{c}" for c in categorical],
                                 outputCols=[f"__ix_{c}" for c in categorical],
                                 stringOrderType="alphabetAsc", handleInvalid="keep"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .groups import join_groups
 
 from ..functions.flags import round1
+from ..schema import is_numeric
 
 
 def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -90,6 +91,46 @@ def data_dictionary(df: DataFrame, order_col: str, approximate: bool = False) ->
         F.coalesce("example", F.lit("")).alias("example"))
 
 
+#: log2 of the registers of a distinct-count sketch, and the standard error of its estimate.
+SKETCH_BITS = 12
+DISTINCT_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+#: Size of a quantile sketch: a median from it has a rank within RANK_ERROR of the half, with 99 % confidence.
+QUANTILE_K = 400
+RANK_ERROR = 0.01
+
+
+def profile_sketches(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A profile that merges: per column counts, a distinct-count sketch and, of numbers, a quantile sketch.
+
+    One global aggregate without a row per value, one row per column; its size does not grow with the rows, so
+    the rows of each extract can be stored and those of many extracts merged later (``merge_profiles``) without
+    reading the extracts again. NaN is left out of the quantiles; a column without values has empty sketches.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    fields = []
+    for i, c in enumerate(cols or df.columns):
+        x = F.col("`" + c.replace("`", "``") + "`")
+        number = F.when(~F.isnan(x.cast("double")), x.cast("double")) if is_numeric(types[c]) else F.lit(None).cast("double")
+        fields.append(F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("pos"), F.count(F.lit(1)).alias("n"),
+                               F.count(x).alias("n_nonnull"), F.hll_sketch_agg(x.cast("string"), F.lit(SKETCH_BITS)).alias("distinct_sketch"),
+                               F.kll_sketch_agg_double(number, F.lit(QUANTILE_K)).alias("quantile_sketch")).alias(f"__c{i}"))
+    return df.agg(*fields).select(F.inline(F.array(*[F.col(f"__c{i}") for i in range(len(fields))])))
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """One profile of several (rows of ``profile_sketches``, stacked); a column that only some have counts there."""
+    return profiles.groupBy("column_name").agg(
+        F.min("pos").alias("pos"), F.sum("n").alias("n"), F.sum("n_nonnull").alias("n_nonnull"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"), F.kll_merge_agg_double("quantile_sketch").alias("quantile_sketch"))
+
+
+def read_profile(profiles: DataFrame) -> DataFrame:
+    """Counts, estimated distinct values (standard error ``DISTINCT_ERROR``) and median (rank error ``RANK_ERROR``)."""
+    some = F.kll_sketch_get_n_double("quantile_sketch") > 0
+    return profiles.select("column_name", "pos", "n", "n_nonnull", F.hll_sketch_estimate("distinct_sketch").alias("n_unique"),
+                           F.when(some, F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(0.5))).alias("median"))
+
+
 def top_categories(df: DataFrame, col: str, n: int, by: list[str] | None = None,
                    total: int | None = None) -> DataFrame:
     """Top-n values of ``col`` (NULLs excluded) with their share of all rows.

@@ -8,6 +8,7 @@ from ..functions import flags as FL
 from ..operators import profile as P
 from ..sources import extracts as X
 from ..sources import fixtures
+from ..session import write_stage
 from . import cleaning as C
 from .catalog import register
 from .oracle import INDICATOR_COLS, chain, injury_rank as sql_injury_rank, q, yes_flag as sql_yes_flag
@@ -174,6 +175,23 @@ def data_dictionary(spark, sf_dir):
     return P.data_dictionary(C.cleaned_incidents(spark, sf_dir), order_col="incident_key")
 
 
+# --- A7 from stored sketches, one profile per extract --------------------------------
+_SKETCHED = ["report_id", "same_incident_id", "roadway_type", "sv_speed_mph", "report_month"]
+
+
+@register("merged_dictionary", chain() + "\nunion all\n".join(
+    f"select {q(c)} as column_name, count(*) as n, count({c}) as n_nonnull, true as within_error from raw_reports" for c in _SKETCHED))
+def merged_dictionary(spark, sf_dir):
+    """Profiles of the four extracts, written and merged; ``within_error``: distinct count within five standard errors of the exact one."""
+    raw = fixtures.raw_reports(spark, sf_dir).select(*_SKETCHED, "era", "automation_level")
+    parts = [P.profile_sketches(raw.where((F.col("era") == e) & (F.col("automation_level") == lv)), _SKETCHED)
+             for e in S.ERAS for lv in S.LEVELS]
+    merged = P.read_profile(P.merge_profiles(write_stage(X.union_by_name(parts), "profiles")))
+    exact = P.data_dictionary(raw.select(*_SKETCHED), "report_id").select("column_name", F.col("n_unique").alias("exact"))
+    near = F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 5 * P.DISTINCT_ERROR * F.col("exact"))
+    return merged.join(exact, "column_name").select("column_name", "n", "n_nonnull", near.alias("within_error"))
+
+
 # --- F1, F5, F4, F6 ----------------------------------------------------------------
 @register("strata_counts", chain() + """
 select era, automation_level, count(*) as n from raw_reports group by all""")

@@ -59,6 +59,15 @@ def test_feature_builder_unseen_and_null(spark):
     assert rows[1] == pytest.approx([(2.0 - m) / s, 0.0, 0.0])   # NULL -> "Unknown" (unseen)
 
 
+def test_too_many_levels_raise(spark, monkeypatch):
+    df = spark.range(50).selectExpr("cast(id as string) as road", "cast(id % 3 as string) as hit", "1.0D as speed")
+    monkeypatch.setattr(FE, "MAX_LEVELS", 53)
+    assert len(FE.fit_features(df, ["road", "hit", "speed"]).names) == 54
+    monkeypatch.setattr(FE, "MAX_LEVELS", 52)
+    with pytest.raises(ValueError, match=r"more than 52 values in all: road \(50\), hit \(3\)"):
+        FE.fit_features(df, ["road", "hit", "speed"])
+
+
 def test_constant_numeric_is_zero_on_train(spark):
     train = spark.createDataFrame([(4.0,), (4.0,)], "x double")
     out, stats = FE.standardise(train, ["x"])
