@@ -8,7 +8,10 @@ content), all descending. All NULL ids form one key.
 Plan: ``groupBy(id).agg(max(struct(order..., payload...)))``. Unlike a
 ``row_number`` window this is an aggregate, so Spark runs a partial (map-side)
 max before the shuffle: a hot id - even one holding a third of all rows, as the
-NULL id can - is reduced to one row per input partition before it moves.
+NULL id can - is reduced to one row per input partition before it moves. That
+max sorts (and spills) each map task's rows, which gains nothing where ids hardly
+repeat: with ``gather`` the rows go to their id's task as they are and are reduced
+there alone. Callers ask for it when no id is hot (``groups.hot_keys``).
 """
 from __future__ import annotations
 
@@ -19,7 +22,9 @@ from pyspark.sql import functions as F
 def latest_version(df: DataFrame, id_col: str = "report_id",
                    version_col: str = "report_version",
                    tiebreak_cols: list[str] | None = None,
-                   keep_tiebreak: bool = False) -> DataFrame:
+                   keep_tiebreak: bool = False, gather: bool = False) -> DataFrame:
+    if gather:
+        df = df.repartition(F.col(id_col))
     tiebreak_cols = list(tiebreak_cols or [])
     payload = [c for c in df.columns if c != id_col]
     v = F.col(version_col)

@@ -44,10 +44,7 @@ def na_tokens(spark, sf_dir):
 # --- E1 ----------------------------------------------------------------------------
 @register("latest_version", chain() + f"select {', '.join(RAW_COLS)}, source_ord from latest")
 def latest_version(spark, sf_dir):
-    from ..operators.dedup import latest_version as lv
-    raw = fixtures.raw_reports(spark, sf_dir)
-    return lv(raw, "report_id", "report_version", fixtures.TIEBREAK_COLS,
-              keep_tiebreak=True).select(*RAW_COLS, "source_ord")
+    return C.latest_reports(fixtures.raw_reports(spark, sf_dir), keep_tiebreak=True).select(*RAW_COLS, "source_ord")
 
 
 # --- C1 / C3 / C4 on the raw view ---------------------------------------------------
