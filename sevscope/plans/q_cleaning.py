@@ -76,7 +76,8 @@ def injury_rank(spark, sf_dir):
 # --- C5 ----------------------------------------------------------------------------
 @register("incident_key", chain() + "select report_id, incident_key from comp")
 def incident_key(spark, sf_dir):
-    rep = C.latest_reports(fixtures.raw_reports(spark, sf_dir))
+    raw = fixtures.raw_reports(spark, sf_dir).select("report_id", "report_version", "same_incident_id", *fixtures.TIEBREAK_COLS)
+    rep = C.latest_reports(raw)
     return rep.select("report_id", FL.incident_key().alias("incident_key"))
 
 
@@ -93,7 +94,7 @@ def consolidate(spark, sf_dir):
 @register("severity_label", chain() + """
 select incident_key, injury_flag, airbag_flag, towed_flag, severe, severity_known from labelled""")
 def severity_label(spark, sf_dir):
-    inc = C.incidents(fixtures.raw_reports(spark, sf_dir))
+    inc = C.incidents(fixtures.raw_reports(spark, sf_dir), columns=[])
     return inc.select("incident_key", "injury_flag", "airbag_flag", "towed_flag", "severe",
                       "severity_known")
 
@@ -106,7 +107,8 @@ union all select 'airbag_flag', cast(sum(airbag_flag) as bigint), count(airbag_f
 union all select 'towed_flag', cast(sum(towed_flag) as bigint), count(towed_flag) from latest_c
 """.replace("latest_c", "comp"))
 def component_counts(spark, sf_dir):
-    rep = C.add_components(C.latest_reports(fixtures.raw_reports(spark, sf_dir)))
+    raw = fixtures.raw_reports(spark, sf_dir).select("report_id", "report_version", "injury_text", "airbag_text", "towed_text", *fixtures.TIEBREAK_COLS)
+    rep = C.add_components(C.latest_reports(raw))
     return P.component_counts(rep, ["injury_flag", "airbag_flag", "towed_flag"])
 
 
@@ -114,7 +116,9 @@ def component_counts(spark, sf_dir):
 @register("missing_indicators", chain() + "select incident_key, " + ", ".join(
     f"{c}{S.MISSING_SUFFIX}" for c in INDICATOR_COLS) + " from clean")
 def missing_indicators(spark, sf_dir):
-    inc = C.incidents(fixtures.raw_reports(spark, sf_dir))
+    raw = fixtures.raw_reports(spark, sf_dir)
+    inc = C.incidents(raw, columns=[c for c in raw.columns if c not in S.SKIP_INDICATOR])
+    inc = write_stage(inc, "unfilled")  # read twice: NULL counts, indicators
     out, cols = C.add_missing_indicators(inc)
     return out.select("incident_key", *[f"{c}{S.MISSING_SUFFIX}" for c in cols])
 
@@ -137,8 +141,8 @@ union all select 'report_version', cast(median(report_version) as double) from l
 union all select 'injury_rank', cast(median(injury_rank) as double) from labelled""")
 def column_median(spark, sf_dir):
     from ..operators.prefix import medians
-    inc = C.incidents(fixtures.raw_reports(spark, sf_dir))
     cols = ["sv_speed_mph", "report_month", "report_version", "injury_rank"]
+    inc = C.incidents(fixtures.raw_reports(spark, sf_dir), columns=cols)
     names = spark.createDataFrame([(c,) for c in cols], "column_name string")
     found = medians(inc, cols).withColumnRenamed("col", "column_name")
     return names.join(found, "column_name", "left").select("column_name", "median")
@@ -221,7 +225,7 @@ select 'injury_flag' as component, round(avg(injury_flag), {R6}) as share from k
 union all select 'airbag_flag', round(avg(airbag_flag), {R6}) from known where severe = 1
 union all select 'towed_flag', round(avg(towed_flag), {R6}) from known where severe = 1""")
 def component_shares(spark, sf_dir):
-    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
+    known = C.load_known(C.cleaned_incidents(spark, sf_dir, []))
     return P.component_shares(known.where(F.col("severe") == 1),
                               ["injury_flag", "airbag_flag", "towed_flag"])
 

@@ -263,7 +263,7 @@ hashed as (select incident_key, severe,
 select incident_key, severe from hashed order by h, incident_key limit 2000""")
 def capped_sample(spark, sf_dir):
     """2,000-row hash-ordered sample (the reference's silhouette sample size)."""
-    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
+    known = C.load_known(C.cleaned_incidents(spark, sf_dir, []))
     return SP.capped_sample(known, "incident_key", 2000).select("incident_key", "severe")
 
 

@@ -70,7 +70,7 @@ def narrative_redacted(spark, sf_dir):
 @register("narrative_flags", chain() + _sql_flag_cte("known", "incident_key", "narrative")
           + "select * from flags_src")
 def narrative_flags(spark, sf_dir):
-    known = C.load_known(C.cleaned_incidents(spark, sf_dir))
+    known = C.load_known(C.cleaned_incidents(spark, sf_dir, ["narrative"]))
     return N.attach_narrative_flags(known.select("incident_key", "narrative")).drop("narrative")
 
 

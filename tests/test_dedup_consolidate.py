@@ -62,3 +62,30 @@ def test_hot_keys(spark, monkeypatch):
     plan = _plan(C.latest_reports(raw, []))
     assert plan.index("hashpartitioning(report_id") < plan.rindex("SortAggregate")
     assert C.latest_reports(raw, []).count() == raw.select("report_id").distinct().count()
+
+
+def test_incidents_of_few_columns_are_those_of_all(spark):
+    rows = [(f"R{i % 23}" if i % 9 else None, float(i % 4) if i % 5 else None, f"I{i % 7}" if i % 3 else " ", "Serious" if i % 4 else None,
+             "Yes" if i % 6 == 0 else "No", None, "ADS" if i % 2 else "L2", "archived", f"road{i % 3}" if i % 5 else None, f"text {i % 11}", i) for i in range(120)]
+    raw = spark.createDataFrame(rows, "report_id string, report_version double, same_incident_id string, injury_text string, airbag_text string, "
+                                      "towed_text string, automation_level string, era string, roadway_type string, narrative string, n int")
+    every = C.incidents(raw, ["n"])
+    for columns in ([], ["narrative"], ["roadway_type", "report_version"]):
+        few = C.incidents(raw, ["n"], columns)
+        assert set(few.columns) == {"incident_key", "report_id", "era", "automation_level", "injury_rank", "injury_flag", "airbag_flag", "towed_flag",
+                                    "severe", "severity_known", *columns}
+        assert sorted(few.collect(), key=str) == sorted(every.select(*few.columns).collect(), key=str)
+
+
+def test_cleaned_tables_are_shared(spark, monkeypatch):
+    built = []
+
+    def clean(raw, columns=None):
+        built.append(columns)
+        return C.CleanResult(spark.range(1))
+    monkeypatch.setattr(C, "_CLEANED", {})
+    monkeypatch.setattr(C, "clean", clean)
+    monkeypatch.setattr(C.fixtures, "raw_reports", lambda *a: None)
+    for columns in (["narrative"], [], ["narrative"], None, ["roadway_type"], None):
+        C.cleaned_incidents(spark, "/x", columns)
+    assert built == [["narrative"], None]
