@@ -93,7 +93,7 @@ def _prevalence_sql() -> str:
 @register("flag_prevalence", _prevalence_sql())
 def flag_prevalence(spark, sf_dir):
     # the flags are columns of the labelled stage table; no pattern runs again
-    return P.flag_prevalence(C.flagged_known(spark, sf_dir), N.NAV_FEATURES, N.NAV_DESCRIPTIONS, "severe")
+    return P.flag_prevalence(C.flagged_known(spark, sf_dir, []), N.NAV_FEATURES, N.NAV_DESCRIPTIONS, "severe")
 
 
 @register("document_flags", "with " + _sql_flag_cte("documents", "doc_id", "text")[2:] + """
