@@ -1,7 +1,7 @@
 """Scenario clustering jobs (I15-I19) on ``pyspark.ml``.
 
 Matrix: tabular + narrative flags, one-hot, every slot standardised (H3).
-k search: distributed k-means per (k, restart); Euclidean silhouette on the
+k search: k-means per (k, restart), all in the same passes; Euclidean silhouette on the
 reference's bounded 2,000-row sample; the final fit feeds the profile, lift,
 label and cross-tab operators, which aggregate over the whole slice.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
+from pyspark import StorageLevel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -19,6 +19,7 @@ from .. import schema as S
 from ..functions import narrative as N
 from ..operators import clusters as K
 from ..operators import features as FE
+from ..operators import kmeans as KM
 from ..session import cut_lineage
 
 # FIXED VALUES: k ranges, restarts, seed and minimum slice size
@@ -28,7 +29,7 @@ N_INIT_SEARCH = 10
 N_INIT_FINAL = 20
 SEED = 42
 MIN_ROWS = 30
-# concurrent k-means restarts (Spark jobs) per fit
+# k-means runs whose starting centres are chosen at the same time
 FIT_PARALLELISM = 4
 
 
@@ -41,42 +42,34 @@ def cluster_matrix(df: DataFrame, features: list[str], out: str = "features") ->
 
 def fit_kmeans(df: DataFrame, k: int, n_init: int, seed: int = SEED, features: str = "features",
                parallelism: int = FIT_PARALLELISM):
-    """Best of ``n_init`` distributed k-means runs by training cost.
+    """Best of ``n_init`` k-means runs by training cost.
 
-    The restarts are independent Spark jobs submitted from a small thread pool (as
-    ``CrossValidator(parallelism=...)`` does), so small fits share the executors
-    instead of queueing; the input is persisted once for all of them. The winner
-    is the lowest (cost, restart index), whatever order the fits finish in.
+    The restarts share their passes over the rows (``operators.kmeans``); the input is persisted
+    once for all of them. The winner is the lowest (cost, restart index).
     """
-    from concurrent.futures import ThreadPoolExecutor
+    return best_runs(df, [k], n_init, seed, features, parallelism)[k]
 
-    from pyspark import StorageLevel
-
-    def run(i):
-        model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster",
-                       initMode="k-means||", maxIter=300, tol=1e-4).fit(df)
-        return model.summary.trainingCost, i, model
 
+def best_runs(df: DataFrame, k_range, n_init: int, seed: int = SEED, features: str = "features",
+              parallelism: int = FIT_PARALLELISM) -> dict:
+    """For each k the best of ``n_init`` runs and its cost; all runs of all k share their passes."""
     own_cache = df.storageLevel == StorageLevel.NONE
     if own_cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-            fits = list(pool.map(run, range(n_init)))
+        runs = KM.fit_runs(df, [(k, seed + i) for k in k_range for i in range(n_init)], features, 300, 1e-4, parallelism)
     finally:
         if own_cache:
             df.unpersist()
-    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
-    return model, cost
+    best = {k: min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.seed)) for k in k_range}
+    return {k: (r, r.cost) for k, r in best.items()}
 
 
 def select_k(df: DataFrame, key: str, k_range=K_RANGE, n_init: int = N_INIT_SEARCH,
              seed: int = SEED) -> tuple[int, list[dict]]:
     """Silhouette of all rows per k; arg-max, first k wins ties."""
-    from pyspark import StorageLevel
     df, scores = df.persist(StorageLevel.MEMORY_AND_DISK), []
-    for k in k_range:
-        model, cost = fit_kmeans(df, k, n_init, seed)
+    for k, (model, cost) in best_runs(df, k_range, n_init, seed).items():
         lab = model.transform(df).select("features", "cluster")
         sil = K.mean_silhouette(K.silhouette(lab, "features", "cluster"))
         scores.append({"k": k, "silhouette": sil, "cost": cost})
