@@ -9,6 +9,7 @@ whether a line starts inside a quoted field is worked out as a prefix over the s
 3. every split cuts its lines into records; the pieces of a record that crosses splits carry the split
    in which it began and are joined by that. Spark's own ``from_csv`` then parses each record.
 
+Lines are scanned a batch at a time, by one pattern over their text; Python makes no call a line.
 Only rows of splits (as many as the driver's own list of them) are broadcast, and only records that cross
 a split are shuffled. The records are written once as a stage table: two scans of the file in all.
 
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from ..session import write_stage
 
-#: A line that starts outside quotes and ends inside a quoted field. Possessive throughout, so linear.
-_LEFT_OPEN = re.compile(rb'(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+),)*+"[^"]*+(?:""[^"]*+)*+')
+#: A field that ends in its line, and whole records with their newlines. Possessive throughout, so linear.
+_FIELD = rb'(?:"[^"]*+(?:""[^"]*+)*+"[^,\n]*+|(?!")[^,\n]*+)'
+_RECORD = re.compile(rb"(?:" + _FIELD + rb",)*+" + _FIELD + rb"\n")
+_ALL_RECORDS = re.compile(rb"(?:" + _RECORD.pattern + rb")*+")
 
 #: Encodings in which quote, comma and newline are the ASCII bytes, and their names in Spark.
 SPLIT_ENCODINGS = {"utf-8": "UTF-8", "utf8": "UTF-8", "us-ascii": "US-ASCII", "ascii": "US-ASCII",
@@ -41,15 +44,8 @@ _RECORDS = "file string, owner long, block long, header boolean, text binary"
 _NO_VALUE = "\0no value\0"
 
 
-def _ends_inside(line: bytes, inside: int) -> int:
-    """Whether a line ends inside a quoted field, from whether it starts in one."""
-    if b'"' not in line:
-        return inside
-    return int(_LEFT_OPEN.fullmatch(b'"' + line if inside else line) is not None)
-
-
-def _blank(text: bytes) -> bool:
-    return text in (b"", b"\r")
+#: Records that are none.
+_BLANK = (b"", b"\r")
 
 
 def _rows(rows: list[tuple], ddl: str):
@@ -60,57 +56,112 @@ def _rows(rows: list[tuple], ddl: str):
                                       names=[n for n, _ in fields])
 
 
+def _stretches(batch):
+    """The rows of each split in a batch: the first row's number, its file and block, and the lines. A split's rows follow each other."""
+    import pyarrow.compute as pc
+    n, keys = batch.num_rows, [batch.column("file"), batch.column("block")]
+    if not n:
+        return
+    file, block = (pc.not_equal(k.slice(1), k.slice(0, n - 1)) for k in keys)
+    starts = [0, *(i + 1 for i in pc.indices_nonzero(pc.or_(file, block)).to_pylist())]
+    lines = batch.column("line").to_pylist()
+    for start, end in zip(starts, [*starts[1:], n]):
+        yield start, tuple(k[start].as_py() for k in keys), lines[start:end]
+
+
+def _run(text: bytes, inside: int) -> tuple[int, bool]:
+    """Whether whole lines end inside a quoted field, from whether they start in one, and whether any line ends outside.
+
+    The newline behind the last line would end a record outside quotes: what no record takes is an open field.
+    """
+    text = b'"' + text if inside else text
+    end = _ALL_RECORDS.match(text).end()
+    return int(end < len(text)), end > 0
+
+
+def _ends_inside(line: bytes, inside: int) -> int:
+    """Whether a line ends inside a quoted field, from whether it starts in one."""
+    return _run(line + b"\n", inside)[0]
+
+
 def _split_ends(batches):
     """One row per split: the end state for both start states."""
     key, state = None, None
     for batch in batches:
         done = []
-        for file, block, line in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "line"))):
-            if (file, block) != key:
+        for _, split, lines in _stretches(batch):
+            if split != key:
                 if key:
                     done.append((*key, *state))
-                key, state = (file, block), [0, 1, False, True, line.endswith(b"\r")]
-            state[0], state[1] = _ends_inside(line, state[0]), _ends_inside(line, state[1])
-            state[2] = state[2] or not state[1]
-            state[3] = state[3] and _blank(line)
+                key, state = split, [0, 1, False, True, lines[0].endswith(b"\r")]
+            text = b"\n".join(lines) + b"\n"
+            same = state[0] == state[1]
+            state[1], closes = _run(text, state[1])
+            state[0] = state[1] if same else _run(text, state[0])[0]
+            state[2] = state[2] or closes
+            state[3] = state[3] and not text.replace(b"\r\n", b"\n").strip(b"\n")
         if done:
             yield _rows(done, _ENDS)
     if key:
         yield _rows([(*key, *state)], _ENDS)
 
 
+def _records(text: bytes) -> tuple[list[bytes], int]:
+    """The records of whole lines, without their newlines, and where the open rest starts."""
+    found, at = [], 0
+    while m := _RECORD.match(text, at):
+        end = m.end()
+        found.append(text[at:end - 1])
+        at = end
+    return found, at
+
+
 def _cut_records(batches):
     """The records of each split from its start state; pieces of records that cross splits name their first split."""
-    key, held, inside, goes_on, owner, header, crlf = None, [], 0, False, None, False, False
+    import pyarrow as pa
+    key, held, goes_on, owner, header, crlf = None, [], False, None, False, False
+
+    def whole(texts):
+        n = len(texts)
+        return pa.RecordBatch.from_arrays([pa.repeat(key[0], n), pa.nulls(n, pa.int64()), pa.repeat(pa.scalar(key[1], pa.int64()), n),
+                                           pa.repeat(False, n), pa.array(texts, pa.binary())], names=[f.split()[0] for f in _RECORDS.split(", ")])
 
     def left_over():
-        return (key[0], owner if goes_on else key[1], key[1], header and not goes_on, b"\n".join(held))
+        # the lines of an open record, less the newline behind the last
+        return (key[0], owner if goes_on else key[1], key[1], header and not goes_on, b"".join(held)[:-1])
 
-    columns = ("file", "block", "line", "inside", "owner", "header", "crlf")
     for batch in batches:
-        done = []
-        for file, block, line, starts_inside, began, has_header, ends_crlf in zip(*(batch.column(c).to_pylist() for c in columns)):
-            if (file, block) != key:
+        for start, split, lines in _stretches(batch):
+            if split != key:
                 if held:
-                    done.append(left_over())
-                if starts_inside is None:
-                    raise RuntimeError(f"{file}: the splits changed while it was read; set spark.sql.files.minPartitionNum to keep them")
-                key, held, inside, goes_on = (file, block), [], starts_inside, bool(starts_inside)
-                owner, header, crlf = began, has_header, ends_crlf
-            held.append(line.removesuffix(b"\r") if crlf else line)
-            inside = _ends_inside(line, inside)
-            if inside:
-                continue
-            text, held = b"\n".join(held), []
-            if goes_on:
-                done.append((file, owner, block, False, text))
-            elif not _blank(text):
-                if not header:
-                    done.append((file, None, block, False, text))
+                    yield _rows([left_over()], _RECORDS)
+                inside, owner, header, crlf = (batch.column(c)[start].as_py() for c in ("inside", "owner", "header", "crlf"))
+                if inside is None:
+                    raise RuntimeError(f"{split[0]}: the splits changed while it was read; set spark.sql.files.minPartitionNum to keep them")
+                key, held, goes_on = split, [], bool(inside)
+            text = b"\n".join(lines) + b"\n"
+            if crlf:
+                text = text.replace(b"\r\n", b"\n")
+            if held or goes_on:
+                # inside a quoted field, which the quote put before opens again
+                found, rest = _records(b'"' + text)
+                if not found:
+                    held.append(text)
+                    continue
+                found[0] = b"".join(held) + found[0][1:]
+                rest -= 1
+            else:
+                found, rest = _records(text)
+            held = [text[rest:]] if rest < len(text) else []
+            if goes_on and found:
+                yield _rows([(key[0], owner, key[1], False, found.pop(0))], _RECORDS)
+                goes_on = False
+            found = [t for t in found if t not in _BLANK]
+            if found and header:
+                del found[0]
                 header = False
-            goes_on = False
-        if done:
-            yield _rows(done, _RECORDS)
+            if found:
+                yield whole(found)
     if held:
         yield _rows([left_over()], _RECORDS)
 

@@ -146,3 +146,24 @@ def test_streaming_ingest(spark, tmp_path):
     ingest_extract_drops(spark, str(drop), cols, "ADS", "current", out, ck)
     rows = sorted((r.report_id, r.report_version) for r in spark.read.parquet(out).collect())
     assert rows == [("R1", 1.0), ("R1", 2.0), ("R2", None)]
+
+
+def test_lines_are_cut_by_the_batch():
+    """No Python call a line: cutting 20,000 lines takes few calls, with the records and end states of the lines."""
+    import sys
+
+    import pyarrow as pa
+    lines = [b'1,"a', b'', b'b ""x"", c"', b'2,z'] * 5_000
+    n, calls = len(lines), []
+    base = {"file": pa.array(["f"] * n), "block": pa.array([0] * n, pa.int64()), "line": pa.array(lines, pa.binary())}
+    start = {"inside": pa.array([0] * n, pa.int32()), "owner": pa.nulls(n, pa.int64()), "header": pa.array([True] * n), "crlf": pa.array([False] * n)}
+    batch = pa.RecordBatch.from_pydict({**base, **start})
+    sys.setprofile(lambda frame, event, arg: calls.append(1) if event == "call" and frame.f_code.co_filename == R.__file__ else None)
+    try:
+        ends = [r for b in R._split_ends(iter([batch])) for r in b.to_pylist()]
+        cut = [r["text"] for b in R._cut_records(iter([batch])) for r in b.to_pylist()]
+    finally:
+        sys.setprofile(None)
+    assert [(r["ends_out"], r["closes_in"], r["blank"]) for r in ends] == [(0, True, False)]
+    assert cut == ([b'1,"a\n\nb ""x"", c"', b'2,z'] * 5_000)[1:]
+    assert len(calls) < 200
