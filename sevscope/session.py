@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def side_by_side(fn: Callable, items, most: int = 4) -> list:
+    """``fn`` of each item in order, up to ``most`` at once: their Spark jobs share the cores, so jobs of few tasks leave none idle."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, min(most, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stage tables of this application."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{spark.sparkContext.applicationId}"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import side_by_side
 from . import records as R
 
 
@@ -144,8 +145,10 @@ def read_extracts(spark: SparkSession, extracts: list[Extract], infer: bool = Tr
     values, in one more pass that extracts of declared columns alone do without.
     """
     frames = []
-    for i, ex in enumerate(extracts):
-        df = normalise_missing(read_csv_text(spark, ex.path, ex.encoding, ex.multi_line))
+    # large files are cut into records here, by jobs of their own
+    texts = side_by_side(lambda ex: read_csv_text(spark, ex.path, ex.encoding, ex.multi_line), extracts)
+    for i, (ex, text) in enumerate(zip(extracts, texts)):
+        df = normalise_missing(text)
         if ex.era == "archived":
             df = harmonise(df, S.ARCHIVED_RENAME)
         df = tag_provenance(df, ex.automation_level, ex.era).withColumn("source_ord", F.lit(i))

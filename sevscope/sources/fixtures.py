@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import ARCHIVED_RENAME
+from ..session import side_by_side
 
 # Order columns that make "latest version" a total order on this view: the view
 # stands in for the stable row order of concatenated source files.
@@ -110,17 +111,19 @@ def write_raw_extracts(spark: SparkSession, sf_dir: str, out_dir: str) -> list:
     arch_inv = {v: k for k, v in S.ARCHIVED_RENAME.items()}
     raw = raw_reports(spark, sf_dir)
     cols = [c for c in raw.columns if c in inv]
-    out = []
-    for level, era, enc in (("ADS", "current", "UTF-8"), ("L2", "current", "UTF-8"),
-                            ("ADS", "archived", "UTF-8"), ("L2", "archived", "ISO-8859-1")):
-        part = raw.where((raw.automation_level == level) & (raw.era == era))
+
+    def write(extract: Extract) -> None:
+        part = raw.where((raw.automation_level == extract.automation_level) & (raw.era == extract.era))
         names = {c: inv[c] for c in cols}
-        if era == "archived":
+        if extract.era == "archived":
             names = {c: arch_inv.get(n, n) for c, n in names.items()}
-        path = f"{out_dir.rstrip('/')}/{level}_{era}"
         (part.select(*[part[c].alias(n) for c, n in names.items()])
-             .write.mode("overwrite").option("header", True).option("encoding", enc)
+             .write.mode("overwrite").option("header", True).option("encoding", extract.encoding)
              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-             .csv(path))
-        out.append(Extract(path, enc, level, era))
+             .csv(extract.path))
+
+    out = [Extract(f"{out_dir.rstrip('/')}/{level}_{era}", enc, level, era)
+           for level, era, enc in (("ADS", "current", "UTF-8"), ("L2", "current", "UTF-8"),
+                                   ("ADS", "archived", "UTF-8"), ("L2", "archived", "ISO-8859-1"))]
+    side_by_side(write, out)
     return out

@@ -167,3 +167,21 @@ def test_lines_are_cut_by_the_batch():
     assert [(r["ends_out"], r["closes_in"], r["blank"]) for r in ends] == [(0, True, False)]
     assert cut == ([b'1,"a\n\nb ""x"", c"', b'2,z'] * 5_000)[1:]
     assert len(calls) < 200
+
+
+def test_extracts_are_read_side_by_side(spark, monkeypatch, tmp_path):
+    import threading
+
+    from sevscope.sources import extracts as X
+    paths = []
+    for i in range(2):
+        paths.append(str(tmp_path / f"x{i}.csv"))
+        (tmp_path / f"x{i}.csv").write_text(f"Report ID,other\nR{i},v{i}\n")
+    both, read = threading.Barrier(2, timeout=30), X.read_csv_text
+
+    def met(*args, **kwargs):
+        both.wait()  # passes only when two reads have begun
+        return read(*args, **kwargs)
+    monkeypatch.setattr(X, "read_csv_text", met)
+    out = X.read_extracts(spark, [X.Extract(p, "UTF-8", "ADS", "current") for p in paths])
+    assert sorted((r["other"], r["source_ord"]) for r in out.collect()) == [("v0", 0), ("v1", 1)]
