@@ -188,3 +188,17 @@ def test_sweep_of_a_histogram_is_the_sweep_of_the_rows(spark):
     hist = M.score_histogram(df, "severe", "prob", ["m"])
     key = lambda d: sorted(map(str, d.collect()))
     assert key(M.sweep_histogram(hist, "prob", by=["m"])) == key(M.threshold_sweep(df, "severe", "prob", by=["m"]))
+
+
+def test_boosted_trees_without_cached_node_ids_are_the_same(spark):
+    rng = np.random.default_rng(3)
+    X = rng.integers(0, 6, size=(600, 5))
+    y = (X[:, 0] * X[:, 1] + rng.integers(0, 8, size=600) > 12).astype(int)
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("severe", T.IntegerType())])
+    rows = spark.createDataFrame([(Vectors.dense(x.tolist()), int(v)) for x, v in zip(X, y)], schema)
+    model = MO.fit_gbt(rows, 0.1, 4, 1.5, rounds=4)
+    cached = GBTClassifier(labelCol=MO.LABEL, weightCol=MO.WEIGHT, maxIter=4, stepSize=0.1, maxDepth=4, seed=42, cacheNodeIds=True).fit(
+        FE.pos_weight_col(rows, MO.LABEL, 1.5, MO.WEIGHT))
+    assert not model.getCacheNodeIds() and cached.getCacheNodeIds()
+    assert model.toDebugString.split("\n")[1:] == cached.toDebugString.split("\n")[1:]
+    assert model.treeWeights == cached.treeWeights
