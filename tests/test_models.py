@@ -138,6 +138,11 @@ def test_fingerprint_is_of_rows_in_any_order(spark):
     assert len({fingerprint(a, "p"), fingerprint(a, "q"), fingerprint(a.where("k = 1"), "p"), fingerprint(a.distinct(), "p")}) == 4
 
 
+def test_fingerprint_of_many_rows_does_not_overflow(spark):
+    many = spark.range(200_000).selectExpr("id as k")
+    assert fingerprint(many, "p") == fingerprint(many.repartition(5), "p") != fingerprint(many.where("k > 0"), "p")
+
+
 def test_registered_queries_search_whole_grids(spark, monkeypatch):
     """Every point of the grids is tried at both levels; cheap fits stand in for the estimators."""
     from tests.conftest import SF_SMALL
