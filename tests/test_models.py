@@ -186,6 +186,32 @@ def test_forest_grid_has_all_points(spark):
     assert len(res.table) == 5 and res.metrics["model"] == "RF [ADS]"
 
 
+def test_large_forest_is_fitted_and_scored_in_parts(spark, tmp_path, monkeypatch):
+    assert FO.part_sizes(4_000, 300) == [300] and FO.part_sizes(306_349, 300) == [19] * 15 + [15] and FO.part_sizes(10**8, 2) == [1, 1]
+    df = _noisy(spark, 200)
+    df.coalesce(1).write.parquet(str(tmp_path / "m"))
+    df = spark.read.parquet(str(tmp_path / "m"))
+    monkeypatch.setattr(FO, "ROW_TREES", 400)
+    mats = lambda: MO.Matrices(df, df, df, df, list("abcde"), "temporal")
+    fits, fit_rf = [], MO.fit_rf
+    monkeypatch.setattr(MO, "fit_rf", lambda train, n, *p, **k: fits.append(n) or fit_rf(train, n, *p, **k))
+    store = ModelStore(spark, f"test-{uuid.uuid4().hex}")
+    res = MO.run_rf_grid("ADS", mats, store, {"n_est": [3, 5], "depth": [None, 2], "leaf": [1]})
+    assert len(res.points) == 4 and max(fits) == 2 and fits[:3] == [2, 2, 1] and sum(fits) == 5 + res.params["n_est"]
+    assert sum(r["importance"] for r in res.table) == pytest.approx(1.0) and len(res.table) == 5
+    paths = [f"{store.root}/fits/rf-ADS-leaf1-part{i}" for i in range(3)]
+    parts = [(RandomForestClassificationModel.load(p), p) for p in paths]
+    rows = df.collect()
+    trees = [t for model, _ in parts for t in model.trees]
+    per_tree = np.array([[t.predictProbability(r.features)[1] for t in trees] for r in rows])
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 5  # drawn anew in each part
+    got = FO.part_scores(parts, df, "severe", [3, 5], [None, 2])
+    assert got.count() == 4 * len(rows)
+    for n in (3, 5):
+        own = sorted(r.prob for r in got.where(f"n_est = {n} and depth is null").collect())
+        assert np.allclose(own, np.sort(per_tree[:, :n].mean(axis=1)))
+
+
 def test_sweep_of_a_histogram_is_the_sweep_of_the_rows(spark):
     rng = np.random.default_rng(2)
     rows = [("a" if i % 3 else None, float(p), int(t)) for i, (p, t) in enumerate(zip(rng.random(500).round(2), rng.random(500) < 0.4))]
