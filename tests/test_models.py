@@ -233,3 +233,14 @@ def test_boosted_trees_without_cached_node_ids_are_the_same(spark):
     assert not model.getCacheNodeIds() and cached.getCacheNodeIds()
     assert model.toDebugString.split("\n")[1:] == cached.toDebugString.split("\n")[1:]
     assert model.treeWeights == cached.treeWeights
+
+
+def test_fits_read_every_row_of_the_sub_train(spark, monkeypatch):
+    n = 2_000_010
+    rows = spark.range(n).selectExpr("cast(id as string) as incident_key")
+    monkeypatch.setattr(MO.SP, "split_within_level", lambda lvl: MO.SP.Split(rows, rows.limit(10), "temporal"))
+    monkeypatch.setattr(MO.SP, "holdout", lambda train: (train, train.limit(10)))
+    monkeypatch.setattr(MO.FE, "fit_features", lambda df, feats: FE.FeatureSpec([], [], {}, {}, None))
+    monkeypatch.setattr(MO, "_design", lambda spec, df: df)
+    m = MO._matrices(rows, [], refit_on_full=True)
+    assert m.fit.count() == m.train.count() == n
