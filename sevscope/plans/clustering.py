@@ -55,7 +55,7 @@ def best_runs(df: DataFrame, k_range, n_init: int, seed: int = SEED, features: s
     """For each k the best of ``n_init`` runs and its cost; all runs of all k share their passes."""
     own_cache = df.storageLevel == StorageLevel.NONE
     if own_cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         runs = KM.fit_runs(df, [(k, seed + i) for k in k_range for i in range(n_init)], features, 300, 1e-4, parallelism)
     finally:
@@ -68,11 +68,12 @@ def best_runs(df: DataFrame, k_range, n_init: int, seed: int = SEED, features: s
 def select_k(df: DataFrame, key: str, k_range=K_RANGE, n_init: int = N_INIT_SEARCH,
              seed: int = SEED) -> tuple[int, list[dict]]:
     """Silhouette of all rows per k; arg-max, first k wins ties."""
-    df, scores = df.persist(StorageLevel.MEMORY_AND_DISK), []
-    for k, (model, cost) in best_runs(df, k_range, n_init, seed).items():
-        lab = model.transform(df).select("features", "cluster")
-        sil = K.mean_silhouette(K.silhouette(lab, "features", "cluster"))
-        scores.append({"k": k, "silhouette": sil, "cost": cost})
+    df = df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    found = best_runs(df, k_range, n_init, seed)
+    models = [found[k][0] for k in k_range]
+    rows = KM.all_clusters(df, models)
+    scores = [{"k": k, "silhouette": s, "cost": found[k][1]}
+              for k, s in zip(k_range, K.silhouettes(rows, "features", "clusters", [len(m.centres) for m in models]))]
     df.unpersist()
     best = max(scores, key=lambda r: (r["silhouette"], -r["k"]))
     return best["k"], scores

@@ -2,8 +2,11 @@ import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import types as T
 
 from sevscope.operators import kmeans as KM
+from sevscope.operators.draws import Draws
 from sevscope.plans import cleaning as C
 from sevscope.plans import clustering as CL
 from sevscope.plans import models as MO
@@ -67,3 +70,32 @@ def test_matrices_hold_vector_and_label_alone(spark, monkeypatch):
     known = spark.createDataFrame(rows, "incident_key string, era string, automation_level string, narrative string, sv_speed_mph double, severe int")
     m = MO._matrices(known, ["sv_speed_mph"])
     assert written == [["features", "severe"]] * 3 and m.test.columns == ["features", "severe"]
+
+
+def test_draws_are_those_of_the_sampler(spark):
+    seeds = [42, -7, 2**31 - 1, 0]
+    draws = Draws(seeds)
+    got = np.concatenate([draws.take(n) for n in (1, 4_999, 5, 200)], axis=1)
+    for seed, numbers in zip(seeds, got):
+        own = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed)
+        places = [*range(20), *range(4_060, 4_130), 5_200]
+        assert [numbers[i] for i in places if i < 5_205] == [n for i, n in enumerate(own.nextDouble() for _ in range(5_205)) if i in places]
+
+
+def test_starting_centres_of_all_runs_in_few_jobs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 5, (900, 3)) * np.array([0.3, 0.7, 1.1])  # many equally near rows
+    some = [(Vectors.sparse(12, {int(c): 1.9, 6: float(v[0]), 7: float(v[1]), 8: float(v[2])}),) for c, v in zip(rng.integers(0, 6, 900), values)]
+    rows = spark.createDataFrame(some, T.StructType([T.StructField("features", VectorUDT())])).repartition(3).persist()
+    runs = [(k, seed) for k in (2, 3, 6) for seed in (1, 42, 99)]
+    ran = []
+    monkeypatch.setattr(KM, "lloyd", lambda blocks, begun, *rest: ran.append(blocks) or begun)
+    rows.count()
+    spark.sparkContext.setJobGroup("starting centres", "")
+    begun = KM.fit_runs(rows, runs, parallelism=1)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("starting centres"))
+    spark.sparkContext.setJobGroup("others", "")
+    for got in begun:
+        one = KMeans(k=got.k, seed=got.seed, featuresCol="features", maxIter=0).fit(rows)
+        assert np.allclose(np.stack(one.clusterCenters()), got.centres)
+    assert len(ran) == 1 and jobs < 3 * len(runs)  # Spark's fits take at least seven each
